@@ -1,0 +1,25 @@
+"""Streaming.
+
+The study processes its event logs in batch only; it has no watermarks,
+windows over event time or stateful stream operators, so none are defined
+here.  The row-level cleaning rules (``clinframe.functions.expr.rule_value``)
+are stateless column expressions and therefore apply unchanged to a
+``readStream`` DataFrame; :func:`clean_stream` shows that use.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from clinframe.functions import rules as R
+from clinframe.functions.expr import label_by_item, rule_value
+
+
+def clean_stream(chartevents: DataFrame, version: str = "v1.2") -> DataFrame:
+    """Label and clean charted rows; works on batch or streaming DataFrames."""
+    labels, value_rules = R.CHART_VERSIONS[version]
+    return (chartevents.filter(F.col("itemid").isin(list(R.chart_items(version))))
+            .select("subject_id", "hadm_id", "icustay_id", "charttime",
+                    label_by_item("itemid", labels).alias("label"),
+                    rule_value("itemid", "valuenum", value_rules).alias("valuenum")))
