@@ -41,6 +41,17 @@ def _valid(df: DataFrame, by: Sequence[str], time: str):
     return ok
 
 
+def _buckets_with_ghost(width: int, lookback: int):
+    """Own bucket, plus the next one when the row is within ``lookback`` of it.
+
+    Exploding this array copies a row into the next bucket without a second
+    reference to the input (no self-union).
+    """
+    b = F.floor(F.col("_us") / F.lit(width))
+    near_next = F.col("_us") >= (b + 1) * F.lit(width) - F.lit(lookback)
+    return F.explode(F.when(near_next, F.array(b, b + 1)).otherwise(F.array(b)))
+
+
 def asof_attach(anchor: DataFrame, feature: DataFrame, *, by: Sequence[str], value_cols: Sequence[str],
                 lookback: str = "4 hours", time: str = "charttime", skip_null_values: bool = True,
                 feature_time: str | None = None, bucket: str = "1 day") -> DataFrame:
@@ -56,11 +67,9 @@ def asof_attach(anchor: DataFrame, feature: DataFrame, *, by: Sequence[str], val
     width = max(interval_micros(bucket), lb)
     payload_cols = list(value_cols) + ([feature_time] if feature_time else [])
 
-    a = anchor.withColumn("_ok", _valid(anchor, by, time))
-    passthrough = a.filter(~F.col("_ok")).drop("_ok")
-    a = (a.filter(F.col("_ok")).drop("_ok")
-         .withColumn("_us", micros_since_epoch(time))
-         .withColumn("_is_anchor", F.lit(True)))
+    # Anchors with a NULL key or time stay in the timeline; no feature can
+    # share their (NULL) partition or order value, so they attach NULLs.
+    a = anchor.withColumn("_us", micros_since_epoch(time)).withColumn("_is_anchor", F.lit(True))
 
     f = feature.filter(_valid(feature, by, time))
     if skip_null_values:
@@ -71,18 +80,12 @@ def asof_attach(anchor: DataFrame, feature: DataFrame, *, by: Sequence[str], val
                  F.lit(False).alias("_is_anchor"))
 
     a = a.withColumn("_b", F.floor(F.col("_us") / F.lit(width)))
-    f = f.withColumn("_b", F.floor(F.col("_us") / F.lit(width)))
-    ghosts = f.filter(F.col("_us") >= (F.col("_b") + 1) * F.lit(width) - F.lit(lb)) \
-              .withColumn("_b", F.col("_b") + 1)
-    timeline = a.unionByName(f, allowMissingColumns=True).unionByName(ghosts, allowMissingColumns=True)
+    f = f.withColumn("_b", _buckets_with_ghost(width, lb))
+    timeline = a.unionByName(f, allowMissingColumns=True)
 
     w = Window.partitionBy(*by, "_b").orderBy("_us").rangeBetween(-lb, 0)
     got = timeline.withColumn("_got", F.last("_hit", ignorenulls=True).over(w)).filter(F.col("_is_anchor"))
-    out = got.select(*anchor.columns, *[F.col(f"_got.{c}").alias(c) for c in payload_cols])
-    nulls = passthrough.select(*anchor.columns, *[
-        F.lit(None).cast(feature.schema[c].dataType if c in feature.columns else anchor.schema[time].dataType)
-        .alias(c) for c in payload_cols])
-    return out.unionByName(nulls)
+    return got.select(*anchor.columns, *[F.col(f"_got.{c}").alias(c) for c in payload_cols])
 
 
 def asof_candidates(anchor: DataFrame, feature: DataFrame, *, by: Sequence[str], value_cols: Sequence[str],
@@ -128,21 +131,19 @@ def match_values(values: DataFrame, anchor: str = "pao2", features: Mapping[str,
     keep = F.col(anchor).isNotNull()
     for name in features:
         keep = keep | F.col(name).isNotNull()
-    v = values.filter(keep).select(*ids, *by, time, F.col(anchor).alias("_anchor"), *features)
-    ok = _valid(v, by, time)
-    no_time = v.filter(~ok & F.col("_anchor").isNotNull()).select(
-        *ids, *by, time, F.col("_anchor").alias(anchor_alias),
-        *[F.lit(None).cast("double").alias(n) for n in features])
-    v = v.filter(ok).withColumn("_us", micros_since_epoch(time))
-    v = v.withColumn("_b", F.floor(F.col("_us") / F.lit(width))).withColumn("_ghost", F.lit(False))
-    ghosts = (v.filter(F.col("_us") >= (F.col("_b") + 1) * F.lit(width) - F.lit(max_lb))
-              .withColumn("_b", F.col("_b") + 1).withColumn("_ghost", F.lit(True))
-              .withColumn("_anchor", F.lit(None).cast("double")))
-    timeline = v.unionByName(ghosts)
+    # A row with a NULL key or time can be an anchor but never a feature (its
+    # features are masked); it attaches NULLs, as BETWEEN with NULL would.
+    ok = _valid(values, by, time)
+    v = values.filter(keep).select(*ids, *by, time, F.col(anchor).alias("_anchor"),
+                                   *[F.when(ok, F.col(n)).alias(n) for n in features])
+    v = v.withColumn("_us", micros_since_epoch(time))
+    own = F.floor(F.col("_us") / F.lit(width))
+    timeline = (v.withColumn("_own", own).withColumn("_b", _buckets_with_ghost(width, max_lb))
+                .withColumn("_ghost", F.coalesce(F.col("_b") != F.col("_own"), F.lit(False))))
     base = Window.partitionBy(*by, "_b").orderBy("_us")
     attached = [F.last(name, ignorenulls=True).over(base.rangeBetween(-lbs[name], 0)).alias(name)
                 for name in features]
     out = (timeline.select(*ids, *by, time, "_anchor", "_ghost", *attached)
            .filter(~F.col("_ghost") & F.col("_anchor").isNotNull())
            .select(*ids, *by, time, F.col("_anchor").alias(anchor_alias), *features))
-    return out.unionByName(no_time)
+    return out

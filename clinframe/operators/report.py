@@ -18,7 +18,7 @@ def _stack(pairs: list[tuple[str, str]], name_col: str, value_col: str) -> F.Col
     return F.expr(f"stack({len(pairs)}, {args}) AS (`{name_col}`, `{value_col}`)")
 
 
-def exclusion_report(df: DataFrame, prefix: str = "exclusion_", digits: int = 4) -> DataFrame:
+def exclusion_report(df: DataFrame, prefix: str = "exclusion_", digits: int | None = None) -> DataFrame:
     """Rows ``(criterion, n, pct)``: observations, each flag's count of 1s,
     and the number of rows with any flag equal to 1 ("Total excluded").
 
@@ -33,7 +33,9 @@ def exclusion_report(df: DataFrame, prefix: str = "exclusion_", digits: int = 4)
                  F.sum(F.when(any_flag, 1).otherwise(0)).cast("long").alias("Total excluded"))
     pairs = [("Observations", "Observations")] + [(c, c) for c in flags] + [("Total excluded", "Total excluded")]
     long = agg.select(F.col("Observations").alias("_total"), _stack(pairs, "criterion", "n"))
-    pct = F.round(F.col("n").cast("double") * F.lit(100.0) / F.col("_total").cast("double"), digits)
+    pct = F.col("n").cast("double") * F.lit(100.0) / F.col("_total").cast("double")
+    if digits is not None:
+        pct = F.round(pct, digits)
     return long.select("criterion", F.col("n").cast("long").alias("n"), pct.alias("pct"))
 
 
