@@ -56,7 +56,11 @@ def window_pivot(stays: DataFrame, events: DataFrame, *, join_keys: Sequence[str
     pivot = joined.groupBy(*stay_cols, time).agg(*aggs)
     if not keep_empty:
         return pivot
-    empty = (stays.select(*stay_cols).join(pivot.select(*stay_cols), list(stay_cols), "left_anti")
+    # Stays with at least one event: a distinct on the stay keys of the joined
+    # rows (partially aggregated map-side, so even a hot stay ships one row
+    # per task), then a left-anti join from the small stay table.
+    matched = joined.select(*stay_cols).distinct()
+    empty = (stays.select(*stay_cols).join(matched, list(stay_cols), "left_anti")
              .distinct()
              .select(*stay_cols, F.lit(None).cast(events.schema[time].dataType).alias(time),
                      *[F.lit(None).cast("string").alias(n) for n in text_outputs],
