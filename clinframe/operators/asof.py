@@ -41,13 +41,18 @@ def _valid(df: DataFrame, by: Sequence[str], time: str):
     return ok
 
 
+def _bucket(column: str, width: int):
+    """Exact floor(column / width) in integer arithmetic (also for negatives)."""
+    return F.expr(f"(`{column}` - pmod(`{column}`, {int(width)})) div {int(width)}")
+
+
 def _buckets_with_ghost(width: int, lookback: int):
     """Own bucket, plus the next one when the row is within ``lookback`` of it.
 
     Exploding this array copies a row into the next bucket without a second
     reference to the input (no self-union).
     """
-    b = F.floor(F.col("_us") / F.lit(width))
+    b = _bucket("_us", width)
     near_next = F.col("_us") >= (b + 1) * F.lit(width) - F.lit(lookback)
     return F.explode(F.when(near_next, F.array(b, b + 1)).otherwise(F.array(b)))
 
@@ -79,7 +84,7 @@ def asof_attach(anchor: DataFrame, feature: DataFrame, *, by: Sequence[str], val
     f = f.select(*by, micros_since_epoch(time).alias("_us"), hit.alias("_hit"),
                  F.lit(False).alias("_is_anchor"))
 
-    a = a.withColumn("_b", F.floor(F.col("_us") / F.lit(width)))
+    a = a.withColumn("_b", _bucket("_us", width))
     f = f.withColumn("_b", _buckets_with_ghost(width, lb))
     timeline = a.unionByName(f, allowMissingColumns=True)
 
@@ -99,12 +104,12 @@ def asof_candidates(anchor: DataFrame, feature: DataFrame, *, by: Sequence[str],
     of a stay.
     """
     lb = max(interval_micros(lookback), 1)
-    a = anchor.withColumn("_us", micros_since_epoch(time)).withColumn("_ab", F.floor(F.col("_us") / F.lit(lb)))
-    f = feature.filter(_valid(feature, by, time)).select(
-        *[F.col(k).alias(f"_f_{k}") for k in by], F.col(time).alias("_ft"),
-        *[F.col(c).alias(f"_v_{c}") for c in value_cols],
-        F.explode(F.sequence(F.floor(micros_since_epoch(time) / F.lit(lb)),
-                             F.floor((micros_since_epoch(time) + F.lit(lb)) / F.lit(lb)))).alias("_fb"))
+    a = anchor.withColumn("_us", micros_since_epoch(time)).withColumn("_ab", _bucket("_us", lb))
+    f = (feature.filter(_valid(feature, by, time))
+         .withColumn("_fus", micros_since_epoch(time)).withColumn("_fus_end", F.col("_fus") + F.lit(lb))
+         .select(*[F.col(k).alias(f"_f_{k}") for k in by], F.col(time).alias("_ft"),
+                 *[F.col(c).alias(f"_v_{c}") for c in value_cols],
+                 F.explode(F.sequence(_bucket("_fus", lb), _bucket("_fus_end", lb))).alias("_fb")))
     cond = ([a[k] == f[f"_f_{k}"] for k in by] + [a["_ab"] == f["_fb"]]
             + [f["_ft"] >= a[time] - F.expr(f"INTERVAL {lookback}"), f["_ft"] <= a[time]])
     j = a.join(f, cond, "left")
@@ -137,7 +142,7 @@ def match_values(values: DataFrame, anchor: str = "pao2", features: Mapping[str,
     v = values.filter(keep).select(*ids, *by, time, F.col(anchor).alias("_anchor"),
                                    *[F.when(ok, F.col(n)).alias(n) for n in features])
     v = v.withColumn("_us", micros_since_epoch(time))
-    own = F.floor(F.col("_us") / F.lit(width))
+    own = _bucket("_us", width)
     timeline = (v.withColumn("_own", own).withColumn("_b", _buckets_with_ghost(width, max_lb))
                 .withColumn("_ghost", F.coalesce(F.col("_b") != F.col("_own"), F.lit(False))))
     base = Window.partitionBy(*by, "_b").orderBy("_us")

@@ -1,0 +1,52 @@
+"""Sinks, sources and physical-plan shape."""
+
+from pyspark.sql import functions as F
+
+from clinframe import operators as op
+from clinframe.plans import Study, StudyParams, rebuild
+from clinframe.sources import clinical_tables, list_tables, read_parquet_tables, run_sql
+from conftest import SMOKE_DIR
+from fixtures import chart_row, frame, ts, T0
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rebuild_writes_views_in_order(spark, tmp_path):
+    tables = clinical_tables(spark, SMOKE_DIR)
+    lazy = Study(tables, StudyParams(min_age_years=28.0, note_pattern="%6%"))
+    counts = {v: lazy[v].count() for v in ("select_patient", "pf", "patientsvalue", "matchvalue")}
+    stored = Study(tables, StudyParams(min_age_years=28.0, note_pattern="%6%"))
+    paths = rebuild(spark, stored, str(tmp_path / "views"))
+    assert list(paths)[0] == "select_patient" and list(paths)[-1] == "matchvalue_lab"
+    reread = read_parquet_tables(spark, str(tmp_path / "views"), names=list(paths))
+    assert {v: reread[v].count() for v in counts} == counts
+
+
+def test_match_values_plan_one_exchange_one_window(spark, tmp_path):
+    tables = clinical_tables(spark, SMOKE_DIR)
+    values = Study(tables, stays=tables["icustays"])["patientsvalue"]
+    path = str(tmp_path / "patientsvalue")
+    values.write.parquet(path)
+    plan = _plan(op.match_values(spark.read.parquet(path)))
+    assert plan.count("Exchange") == 1, plan
+    assert plan.count("+- Window [") == 1 and plan.count("Sort [") == 1, plan
+
+
+def test_item_filter_reaches_parquet_scan(spark, tmp_path):
+    path = str(tmp_path / "chartevents")
+    frame(spark, "chartevents", [chart_row(100, 220045, 80.0)]).write.parquet(path)
+    stays = frame(spark, "icustays", [(1, 10, 100, T0, ts(10))])
+    df = op.chart_pivot(stays, spark.read.parquet(path), "v1.2")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(itemid), In(itemid" in plan or "In(itemid" in plan, plan
+    assert df.filter(F.col("charttime").isNotNull()).count() == 1
+
+
+def test_sql_text_and_catalog_listing(spark):
+    tables = clinical_tables(spark, SMOKE_DIR)
+    out = run_sql(spark, "SELECT count(*) AS n FROM icustays", views=tables).collect()[0].n
+    assert out == tables["icustays"].count()
+    names = {r.name for r in list_tables(spark).collect()}
+    assert {"icustays", "chartevents", "labevents"} <= names
