@@ -11,6 +11,7 @@ from clinframe.operators.merge import merge_sources  # noqa: F401
 from clinframe.operators.pivot import (  # noqa: F401
     chart_pivot, gcs_first_day, lab_first_day, lab_in_stay, lab_pivot, lab_seven_day, window_pivot,
 )
+from clinframe.operators.rank import bucketed_rank  # noqa: F401
 from clinframe.operators.report import (  # noqa: F401
     category_counts, crosstab, distinct_values, exclusion_report, missing_patterns, missing_per_column,
 )

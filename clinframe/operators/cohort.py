@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinframe.functions import rules as R
 from clinframe.functions.expr import days_between, shift, years_between
+from clinframe.operators.rank import bucketed_rank
 
 STAY_KEYS = ("subject_id", "hadm_id", "icustay_id")
 FLAGS = ("exclusion_age", "exclusion_chest", "exclusion_first_stay", "exclusion_los", "exclusion_vent")
@@ -17,21 +18,24 @@ def _flag(cond) -> F.Column:
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
 
 
-def cohort_base(icustays: DataFrame, patients: DataFrame, vent: DataFrame | None = None) -> DataFrame:
+def cohort_base(icustays: DataFrame, patients: DataFrame, vent: DataFrame | None = None,
+                rank_bucket: str = "30 days") -> DataFrame:
     """Per stay: LOS (days), age (years), order of the stay within the subject
-    (``rank``: tied intimes share rank 1) and the ventilation marker."""
+    (``rank``: tied intimes share rank 1) and the ventilation marker.
+
+    The rank is computed per (subject, ``rank_bucket`` of intime) plus the
+    count of the subject's earlier stays (:func:`bucketed_rank`)."""
     s = icustays.join(patients.select("subject_id", "dob"), "subject_id", "inner")
     if vent is not None:
         s = s.join(vent.select("icustay_id", "vent"), "icustay_id", "left")
     else:
         s = s.withColumn("vent", F.lit(None).cast("int"))
-    order = Window.partitionBy("subject_id").orderBy(F.col("intime").asc_nulls_last())
-    return s.select(
+    s = s.select(
         *STAY_KEYS, "intime", "outtime", "vent",
         days_between("intime", "outtime").alias("icu_length_of_stay"),
         years_between("dob", "intime").alias("age"),
-        F.rank().over(order).cast("long").alias("icustay_id_order"),
     )
+    return bucketed_rank(s, ["subject_id"], "intime", name="icustay_id_order", bucket=rank_bucket)
 
 
 def count_events_in_stay(icustays: DataFrame, notes: DataFrame, category: str = "Radiology",
@@ -87,10 +91,10 @@ def service_at_entry(icustays: DataFrame, services: DataFrame, grace: str = "12
     sv = services.select(F.col("hadm_id").alias("_sv_hadm"), "transfertime", "curr_service")
     s = icustays.select(*STAY_KEYS, "intime", shift("intime", grace).alias("_limit"))
     j = s.join(sv, (s.hadm_id == sv._sv_hadm) & (sv.transfertime < s._limit), "left")
-    order = Window.partitionBy(partition).orderBy(F.col("transfertime").desc_nulls_first())
-    return j.select("hadm_id", "icustay_id", "curr_service",
-                    surgical_flag("curr_service").alias("surgical"),
-                    F.rank().over(order).cast("long").alias("rank"))
+    rows = j.select("hadm_id", "icustay_id", "transfertime", "curr_service",
+                    surgical_flag("curr_service").alias("surgical"))
+    ranked = bucketed_rank(rows, [partition], "transfertime", name="rank", descending=True, nulls_first=True)
+    return ranked.select("hadm_id", "icustay_id", "curr_service", "surgical", "rank")
 
 
 def select_patients_surgical(icustays: DataFrame, patients: DataFrame, services: DataFrame,

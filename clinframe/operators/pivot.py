@@ -14,11 +14,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinframe.functions import rules as R
 from clinframe.functions.expr import is_distinct_from, label_by_item, label_by_item_map, rule_value, shift
+from clinframe.operators.rank import bucketed_rank
 
 STAY_KEYS = ("subject_id", "hadm_id", "icustay_id")
 
@@ -143,5 +144,4 @@ def gcs_first_day(icustays: DataFrame, chartevents: DataFrame) -> DataFrame:
     out = rows.select("icustay_id", "charttime",
                       *[F.col(str(i)).alias(name) for name, i in R.GCS_COMPONENTS.items()])
     out = out.withColumn("endotrachflag", F.when(F.col("gcsverbal") == 0, F.lit(1)).otherwise(F.lit(0)))
-    return out.withColumn("rn", F.row_number().over(
-        Window.partitionBy("icustay_id").orderBy(F.col("charttime").asc_nulls_last())))
+    return bucketed_rank(out, ["icustay_id"], "charttime", name="rn", method="row_number", bucket="1 hour")

@@ -96,3 +96,29 @@ def test_candidates_are_range_join(spark):
     rows = op.asof_candidates(a, f, by=("icustay_id",), value_cols=["spo2"], lookback="4 hours").collect()
     got = sorted((r.charttime, r.rn, r.spo2) for r in rows)
     assert got == [(ts(10), 1, 3.0), (ts(10), 2, 2.0), (ts(10), 3, 1.0), (ts(30), 1, None)]
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_bucketed_rank_equals_plain_window(spark, descending):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    rnd = random.Random(11)
+    rows = []
+    for i in range(800):
+        k = 1 if rnd.random() < 0.5 else rnd.choice([2, 3, None])
+        t = None if rnd.random() < 0.05 else T0 + timedelta(hours=rnd.randint(0, 24 * 60) / 4)
+        rows.append((i, k, t))
+    df = spark.createDataFrame(rows, "id long, k long, t timestamp_ntz")
+    ranked = op.bucketed_rank(df, ["k"], "t", descending=descending, bucket="3 days")
+    order = F.col("t").desc_nulls_first() if descending else F.col("t").asc_nulls_last()
+    plain = df.withColumn("r", F.rank().over(Window.partitionBy("k").orderBy(order)))
+    got = {r.id: r["rank"] for r in ranked.collect()}
+    assert got == {r.id: r.r for r in plain.collect()}
+    rn = op.bucketed_rank(df.filter("t is not null"), ["k"], "t", method="row_number", bucket="1 day")
+    by_key = {}
+    for r in rn.collect():
+        by_key.setdefault(r.k, []).append((r.t, r["rank"]))
+    for k, pairs in by_key.items():
+        pairs.sort(key=lambda p: p[1])
+        assert [p[1] for p in pairs] == list(range(1, len(pairs) + 1))
+        assert [p[0] for p in pairs] == sorted(p[0] for p in pairs)
