@@ -152,3 +152,20 @@ def match_values(values: DataFrame, anchor: str = "pao2", features: Mapping[str,
            .filter(~F.col("_ghost") & F.col("_anchor").isNotNull())
            .select(*ids, *by, time, F.col("_anchor").alias(anchor_alias), *features))
     return out
+
+
+def match_values_chain(values: DataFrame, anchor: str = "pao2", features: Mapping[str, int] | None = None,
+                       *, by: Sequence[str] = ("icustay_id",), ids: Sequence[str] = ("subject_id", "hadm_id"),
+                       time: str = "charttime", anchor_alias: str = "pao2") -> DataFrame:
+    """:func:`match_values` in the study's shape: one range join + ``row_number() = 1``
+    per feature, chained.  Same result; kept to measure the two forms against
+    each other (each link adds two exchanges)."""
+    from clinframe.functions.rules import MATCH_FEATURES
+    features = dict(features or MATCH_FEATURES)
+    cur = values.filter(F.col(anchor).isNotNull()).select(*ids, *by, time, F.col(anchor).alias(anchor_alias))
+    for name, hours in features.items():
+        feat = values.filter(F.col(name).isNotNull()).select(*by, time, name)
+        cur = (asof_candidates(cur, feat, by=by, value_cols=[name], lookback=_hours(hours), time=time,
+                               rank_name="_rn")
+               .filter(F.col("_rn") == 1).drop("_rn"))
+    return cur
