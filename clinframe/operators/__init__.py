@@ -1,6 +1,8 @@
 """DataFrame operators: cleaning, pivots, merge, as-of attach, features, cohort, reports."""
 
-from clinframe.operators.asof import asof_attach, asof_candidates, match_values, match_values_chain  # noqa: F401
+from clinframe.operators.asof import (  # noqa: F401
+    asof_attach, asof_candidates, carry_forward, match_values, match_values_chain,
+)
 from clinframe.operators.clean import normalize_fio2, stage_signal, stage_spo2  # noqa: F401
 from clinframe.operators.cohort import (  # noqa: F401
     cohort_base, cohort_with_pf, count_events_in_stay, eligible, select_patients,

@@ -169,3 +169,33 @@ def match_values_chain(values: DataFrame, anchor: str = "pao2", features: Mappin
                                rank_name="_rn")
                .filter(F.col("_rn") == 1).drop("_rn"))
     return cur
+
+
+def carry_forward(df: DataFrame, *, by: Sequence[str], time: str, value, name: str,
+                  bucket: str = "1 day") -> DataFrame:
+    """``df`` plus ``name`` = the latest non-NULL ``value`` among rows with the
+    same ``by`` keys at or before each row's time (no lookback limit).
+
+    Computed per ``(keys, time bucket)`` with a running ``last``, plus a
+    carry-in from earlier buckets taken from a per-bucket summary (one row per
+    key and bucket), so a key holding a large share of the rows is still
+    split by time.  Rows must have distinct times within a key.
+    """
+    width = interval_micros(bucket)
+    value = F.col(value) if isinstance(value, str) else value
+    x = (df.withColumn("_us", micros_since_epoch(time)).withColumn("_b", _bucket("_us", width))
+         .withColumn("_val", value))
+    running = Window.partitionBy(*by, "_b").orderBy("_us").rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumn("_in", F.last("_val", ignorenulls=True).over(running))
+    # Summary: last value of every bucket that has one, valid as carry-in for
+    # the following buckets up to (and including) the next bucket with a value.
+    last_in_bucket = (x.filter(F.col("_val").isNotNull()).groupBy(*by, "_b")
+                      .agg(F.max_by("_val", "_us").alias("_last")))
+    nxt = Window.partitionBy(*by).orderBy("_b")
+    carry = last_in_bucket.select(*[F.col(k).alias(f"_c_{k}") for k in by],
+                                  (F.col("_b") + 1).alias("_from"), F.lead("_b").over(nxt).alias("_to"),
+                                  F.col("_last").alias("_carry"))
+    cond = ([x[k].eqNullSafe(carry[f"_c_{k}"]) for k in by]
+            + [x["_b"] >= carry["_from"], carry["_to"].isNull() | (x["_b"] <= carry["_to"])])
+    out = x.join(carry, cond, "left")
+    return out.select(*df.columns, F.coalesce(F.col("_in"), F.col("_carry")).alias(name))

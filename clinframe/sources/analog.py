@@ -23,10 +23,11 @@ Mapping (``k`` is the integer in ``events.props`` JSON ``{"k": n}``):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinframe.functions import rules
+from clinframe.operators.asof import carry_forward
 
 # --------------------------------------------------------------------------
 # FIXED VALUES of the analog mapping (mirrored in oracle_sql.py).
@@ -77,13 +78,11 @@ def clinical_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.col("ts").alias("intime"), F.expr("timestampadd(HOUR, k, ts)").alias("outtime"),
     )
 
-    # Stay assignment: the latest signup at or before each event, within its
-    # admission (user-week), so a window partition never spans more than a week.
-    w = (Window.partitionBy("hadm_id").orderBy("ts")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    assigned = (ev.withColumn("icustay_id", F.last(
-        F.when(F.col("event_type") == "signup", F.col("event_id")), ignorenulls=True).over(w))
-        .filter(F.col("event_type") != "signup"))
+    # Stay assignment: the latest signup at or before each event within its
+    # admission (user-week), split by day so a hot admission is not one task.
+    assigned = carry_forward(ev, by=["hadm_id"], time="ts", name="icustay_id",
+                             value=F.when(F.col("event_type") == "signup", F.col("event_id"))) \
+        .filter(F.col("event_type") != "signup")
 
     measured = assigned.filter(F.col("event_type").isin("click", "view", "error"))
     valuenum = F.when(F.col("event_type") == "error", F.col("value") / F.lit(100.0)).otherwise(F.col("value"))

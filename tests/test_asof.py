@@ -122,3 +122,23 @@ def test_bucketed_rank_equals_plain_window(spark, descending):
         pairs.sort(key=lambda p: p[1])
         assert [p[1] for p in pairs] == list(range(1, len(pairs) + 1))
         assert [p[0] for p in pairs] == sorted(p[0] for p in pairs)
+
+
+def test_carry_forward_equals_unbounded_window(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    rnd = random.Random(5)
+    rows, seen = [], set()
+    for i in range(700):
+        k = 1 if rnd.random() < 0.5 else rnd.choice([2, 3, None])
+        t = T0 + timedelta(minutes=rnd.randint(0, 6 * 24 * 60))
+        if (k, t) in seen:
+            continue
+        seen.add((k, t))
+        rows.append((i, k, t, i if rnd.random() < 0.1 else None))
+    df = spark.createDataFrame(rows, "id long, k long, t timestamp_ntz, v long")
+    got = {r.id: r.c for r in op.carry_forward(df, by=["k"], time="t", value="v", name="c",
+                                               bucket="6 hours").collect()}
+    w = Window.partitionBy("k").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    want = {r.id: r.c for r in df.withColumn("c", F.last("v", ignorenulls=True).over(w)).collect()}
+    assert got == want
