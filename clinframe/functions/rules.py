@@ -227,10 +227,30 @@ MATCH_FEATURES: dict[str, int] = {
 # --------------------------------------------------------------------------
 
 
-def capped_rules(items, caps: dict[int, float]):
-    """Lab rule set: ``v > 0`` for every item, plus an inclusive cap per item."""
-    rules = [((item,), [Range(0, False, caps[item], True)]) for item in items if item in caps]
-    rest = tuple(i for i in items if i not in caps)
+LAB_FIO2_ITEM = 50816
+BASE_EXCESS_ITEM = 50802
+
+
+def capped_rules(items, caps: dict[int, float], fio2_range: tuple[float, float] | None = None,
+                 keep_negative_base_excess: bool = False):
+    """Lab rule set: ``v > 0`` for every item, plus an inclusive cap per item.
+
+    Options for two study behaviours that look unintended (off by default):
+    ``fio2_range=(lo, hi)`` keeps lab FiO2 only inside ``[lo, hi]`` (the study's
+    check can never be true, so FiO2 is only tested for ``> 0``), and
+    ``keep_negative_base_excess`` keeps base excess of any sign (the study's
+    ``<= 0 -> NULL`` also drops legitimate negative values).
+    """
+    special = {}
+    for item in items:
+        if item in caps:
+            special[item] = [Range(0, False, caps[item], True)]
+    if fio2_range is not None and LAB_FIO2_ITEM in items:
+        special[LAB_FIO2_ITEM] = [Range(fio2_range[0], True, fio2_range[1], True)]
+    if keep_negative_base_excess and BASE_EXCESS_ITEM in items:
+        special[BASE_EXCESS_ITEM] = [Range()]
+    rules = [((item,), ranges) for item, ranges in special.items()]
+    rest = tuple(i for i in items if i not in special)
     return rules + ([(rest, [gt(0)])] if rest else [])
 
 

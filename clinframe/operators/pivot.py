@@ -84,26 +84,30 @@ def chart_pivot(stays: DataFrame, chartevents: DataFrame, version: str = "v1.2")
 
 def lab_pivot(stays: DataFrame, labevents: DataFrame, *, items: Sequence[int],
               labels: Mapping[int, str], outputs: Sequence[str], caps: Mapping[int, float],
-              start=("intime", None), end=("outtime", None), text_outputs: Sequence[str] = ()) -> DataFrame:
+              start=("intime", None), end=("outtime", None), text_outputs: Sequence[str] = (),
+              fio2_range: tuple[float, float] | None = None, keep_negative_base_excess: bool = False) -> DataFrame:
     """Laboratory values per (stay, time).  Labs carry no stay id, so they are
     joined on (subject, admission) and assigned to stays by time alone; a lab
-    inside two overlapping stay windows appears under both stays."""
+    inside two overlapping stay windows appears under both stays.  See
+    :func:`clinframe.functions.rules.capped_rules` for the two options."""
+    value_rules = R.capped_rules(items, caps, fio2_range, keep_negative_base_excess)
     return window_pivot(
         stays, labevents, join_keys=("subject_id", "hadm_id"), start=start, end=end, items=items,
         label=label_by_item_map("itemid", labels),
-        value=rule_value("itemid", "valuenum", R.capped_rules(items, caps)),
+        value=rule_value("itemid", "valuenum", value_rules),
         outputs=outputs, text_value=F.col("value").cast("string"), text_outputs=text_outputs)
 
 
-def lab_first_day(icustays: DataFrame, labevents: DataFrame, start="-6 hours", end="1 day") -> DataFrame:
+def lab_first_day(icustays: DataFrame, labevents: DataFrame, start="-6 hours", end="1 day",
+                  **options) -> DataFrame:
     """Blood-gas panel from intime - 6 h to intime + 1 day: text specimen and 27 values."""
     numeric = [n for n in R.BLOODGAS_LABELS.values() if n != "specimen"]
     return lab_pivot(icustays, labevents, items=R.BLOODGAS_ITEMS, labels=R.BLOODGAS_LABELS,
                      outputs=numeric, caps=R.BLOODGAS_CAPS, start=("intime", start),
-                     end=("intime", end), text_outputs=["specimen"])
+                     end=("intime", end), text_outputs=["specimen"], **options)
 
 
-def lab_seven_day(icustays: DataFrame, labevents: DataFrame) -> DataFrame:
+def lab_seven_day(icustays: DataFrame, labevents: DataFrame, **options) -> DataFrame:
     """PaO2 / FiO2 labs from intime - 6 h to intime + 7 days.
 
     Fetches O2 flow (50815) but labels PEEP's item instead, as the study
@@ -111,13 +115,13 @@ def lab_seven_day(icustays: DataFrame, labevents: DataFrame) -> DataFrame:
     """
     return lab_pivot(icustays, labevents, items=R.LAB_SEVEN_DAY_ITEMS, labels=R.LAB_PF_LABELS,
                      outputs=["o2flow", "fio2", "po2"], caps=R.LAB_PF_CAPS,
-                     start=("intime", "-6 hours"), end=("intime", "7 days"))
+                     start=("intime", "-6 hours"), end=("intime", "7 days"), **options)
 
 
-def lab_in_stay(stays: DataFrame, labevents: DataFrame) -> DataFrame:
+def lab_in_stay(stays: DataFrame, labevents: DataFrame, **options) -> DataFrame:
     """PEEP, FiO2 and PaO2 labs between intime and outtime."""
     return lab_pivot(stays, labevents, items=R.LAB_IN_STAY_ITEMS, labels=R.LAB_PF_LABELS,
-                     outputs=["peep", "fio2", "po2"], caps=R.LAB_PF_CAPS)
+                     outputs=["peep", "fio2", "po2"], caps=R.LAB_PF_CAPS, **options)
 
 
 def gcs_first_day(icustays: DataFrame, chartevents: DataFrame) -> DataFrame:

@@ -220,3 +220,32 @@ def test_specimen_emits_all_fio2_candidates(spark):
                                                                            (3, 40.0, 97.0)]
     latest = op.specimen_probability(bg, spo2, fio2, latest_only=True).collect()
     assert len(latest) == 1 and 0 < latest[0].specimen_prob < 1
+
+
+def test_lab_options_fio2_range_and_negative_base_excess(spark):
+    stays = frame(spark, "icustays", [STAY])
+    labs = frame(spark, "labevents", [(1, 10, 50816, ts(1), None, 10.0), (1, 10, 50816, ts(2), None, 150.0),
+                                       (1, 10, 50816, ts(3), None, 40.0), (1, 10, 50802, ts(4), None, -3.0)])
+    default = {r.charttime: r for r in op.lab_in_stay(stays, labs).collect()}
+    assert [default[ts(h)].fio2 for h in (1, 2, 3)] == [10.0, 150.0, 40.0]     # only v > 0 is checked
+    ranged = {r.charttime: r for r in op.lab_in_stay(stays, labs, fio2_range=(21, 100)).collect()}
+    assert [ranged[ts(h)].fio2 for h in (1, 2, 3)] == [None, None, 40.0]
+    bg = {r.charttime: r.baseexcess for r in
+          op.lab_first_day(stays, labs, start="-6 hours", end="10 days", keep_negative_base_excess=True).collect()}
+    assert bg[ts(4)] == -3.0
+
+
+def test_clean_stream_on_a_streaming_source(spark, tmp_path):
+    from clinframe.sources.schema import SCHEMAS
+    from clinframe.streaming import clean_stream
+    src = str(tmp_path / "chart_in")
+    frame(spark, "chartevents", [chart_row(100, 220045, 80.0), chart_row(100, 220045, 400.0, hours=2),
+                                 chart_row(100, 198, 15.0, hours=3)]).write.parquet(src)
+    stream = spark.readStream.schema(SCHEMAS["chartevents"]).parquet(src)
+    q = (clean_stream(stream).writeStream.format("memory").queryName("clean_out")
+         .option("checkpointLocation", str(tmp_path / "ckpt")).start())
+    q.processAllAvailable()
+    q.stop()
+    got = sorted(((r.label, r.valuenum) for r in spark.sql("SELECT * FROM clean_out").collect()),
+                 key=lambda p: (p[0], p[1] is not None, p[1] or 0))
+    assert got == [("hr", None), ("hr", 80.0)]   # 400 fails the HR bound; item 198 is not fetched
