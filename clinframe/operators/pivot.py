@@ -52,7 +52,11 @@ def window_pivot(stays: DataFrame, events: DataFrame, *, join_keys: Sequence[str
     joined = e.join(s, cond, "inner").select(
         *[F.col(f"_s_{c}").alias(c) for c in stay_cols], time, "_label", "_value",
         *(["_text"] if text_outputs else []))
-    aggs = ([F.max(F.when(F.col("_label") == name, F.col("_text"))).alias(name) for name in text_outputs]
+    # Text maximum as array_max(collect_set(...)): max() over strings has no
+    # fixed-width buffer and would force a sort-based aggregate of every row;
+    # the set holds the few distinct texts of one (stay, time) group.
+    aggs = ([F.array_max(F.collect_set(F.when(F.col("_label") == name, F.col("_text")))).alias(name)
+             for name in text_outputs]
             + [F.max(F.when(F.col("_label") == name, F.col("_value"))).alias(name) for name in outputs])
     pivot = joined.groupBy(*stay_cols, time).agg(*aggs)
     if not keep_empty:
