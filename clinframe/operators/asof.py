@@ -113,7 +113,10 @@ def asof_candidates(anchor: DataFrame, feature: DataFrame, *, by: Sequence[str],
     cond = ([a[k] == f[f"_f_{k}"] for k in by] + [a["_ab"] == f["_fb"]]
             + [f["_ft"] >= a[time] - F.expr(f"INTERVAL {lookback}"), f["_ft"] <= a[time]])
     j = a.join(f, cond, "left")
-    w = Window.partitionBy(*by, time).orderBy(F.col("_ft").desc_nulls_first())
+    # The bucket is a function of the anchor time, so (keys, bucket, time) are
+    # the same groups as (keys, time); listing it lets the join's (keys,
+    # bucket) partitioning satisfy the window without another exchange.
+    w = Window.partitionBy(*by, "_ab", time).orderBy(F.col("_ft").desc_nulls_first())
     return j.select(*anchor.columns, F.row_number().over(w).cast("long").alias(rank_name),
                     *[F.col(f"_v_{c}").alias(c) for c in value_cols])
 

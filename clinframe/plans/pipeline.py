@@ -15,7 +15,7 @@ recomputes the current view).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,7 +33,6 @@ class StudyParams:
     note_category: str = "Radiology"
     note_pattern: str = "%CHEST%"
     pf_threshold: float = 300.0
-    extra: dict = field(default_factory=dict)
 
 
 class Study:
@@ -109,17 +108,24 @@ class Study:
         return asof.match_values(self["patientsvalue"], anchor="pao2_l")
 
 
-def rebuild(spark: SparkSession, study: Study, sink: str, views=ORDER, mode: str = "overwrite") -> dict[str, str]:
+def rebuild(spark: SparkSession, study: Study, sink: str, views=ORDER, mode: str = "overwrite",
+            database: str | None = None) -> dict[str, str]:
     """Write ``views`` as Parquet under ``sink`` in DAG order (drop + create).
 
     Each written view replaces its lazy plan in ``study``, so downstream
     views read the stored files.  ``sink`` must be a shared filesystem path
-    on a cluster.  Returns ``{view: path}``.
+    on a cluster.  With ``database`` each view is also registered as an
+    external catalog table ``database.view`` at that path.  Returns
+    ``{view: path}``.
     """
     paths = {}
     for name in views:
         path = f"{sink.rstrip('/')}/{name}"
-        study[name].write.mode(mode).parquet(path)
+        writer = study[name].write.mode(mode).format("parquet").option("path", path)
+        if database:
+            writer.saveAsTable(f"{database}.{name}")
+        else:
+            writer.save()
         study.put(name, spark.read.parquet(path))
         paths[name] = path
     return paths

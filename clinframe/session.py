@@ -68,3 +68,22 @@ def apply_sql_conf(spark: SparkSession) -> SparkSession:
     for key, value in SQL_CONF.items():
         spark.conf.set(key, value)
     return spark
+
+
+def cluster_settings(input_bytes: int, target_partition_bytes: int = 256 * 1024 ** 2,
+                     max_partitions: int = 200_000) -> dict[str, str]:
+    """Shuffle/scan sizing for a cluster run over ``input_bytes`` of Parquet.
+
+    Starts shuffles with enough partitions for ~``target_partition_bytes``
+    each (AQE then coalesces small ones and splits skewed ones), and reads
+    files in splits of the same size, so a task's working set stays well
+    inside executor memory.  Pass the result as ``get_spark(**settings)``.
+    """
+    n = max(200, min(max_partitions, input_bytes // target_partition_bytes + 1))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
+    }

@@ -50,3 +50,20 @@ def test_sql_text_and_catalog_listing(spark):
     assert out == tables["icustays"].count()
     names = {r.name for r in list_tables(spark).collect()}
     assert {"icustays", "chartevents", "labevents"} <= names
+
+
+def test_rebuild_registers_catalog_tables(spark, tmp_path):
+    tables = clinical_tables(spark, SMOKE_DIR)
+    study = Study(tables)
+    rebuild(spark, study, str(tmp_path / "cat"), views=("select_patient", "po2sevenday"), database="default")
+    assert spark.table("default.select_patient").count() == tables["icustays"].count()
+    assert "po2sevenday" in {r.name for r in list_tables(spark, "default").collect()}
+
+
+def test_cluster_settings_scale_with_input():
+    from clinframe.session import cluster_settings
+    small = cluster_settings(10 * 1024 ** 3)
+    big = cluster_settings(100 * 1024 ** 4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 200
+    assert int(big["spark.sql.shuffle.partitions"]) == min(200_000, 100 * 1024 ** 4 // (256 * 1024 ** 2) + 1)
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)
