@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from clinframe.operators import asof, clean, cohort, features, merge, pivot
+from clinframe.session import ensure_checkpoint_dir
 
 ORDER = ("select_patient", "po2sevenday", "fio2_chart", "pf", "eligible", "patientschart",
          "patientslab", "patientsvalue", "matchvalue", "matchvalue_lab")
@@ -39,19 +40,27 @@ class Study:
     """Lazily built views over a dict of clinical tables; each is built once.
 
     ``stays`` overrides the stays fed to the chart and lab pivots (default:
-    the eligible cohort, as in the study).
+    the eligible cohort, as in the study).  Views named in ``checkpoint`` are
+    checkpointed (reliably, to ``spark.checkpoint.dir``) when first built.
     """
 
     def __init__(self, tables: dict[str, DataFrame], params: StudyParams | None = None,
-                 stays: DataFrame | None = None):
+                 stays: DataFrame | None = None, checkpoint: tuple[str, ...] = ()):
         self.t = tables
         self.p = params or StudyParams()
         self._stays = stays
+        self._checkpoint = set(checkpoint)
         self._cache: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
-            self._cache[name] = getattr(self, f"_build_{name}")()
+            df = getattr(self, f"_build_{name}")()
+            if name in self._checkpoint:
+                # Reliable checkpoint into the session's spark.checkpoint.dir
+                # (a shared folder on a cluster): cuts the lineage of deep views.
+                ensure_checkpoint_dir(df.sparkSession)
+                df = df.checkpoint(eager=True)
+            self._cache[name] = df
         return self._cache[name]
 
     def put(self, name: str, df: DataFrame) -> None:

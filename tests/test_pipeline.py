@@ -67,3 +67,12 @@ def test_cluster_settings_scale_with_input():
     assert int(small["spark.sql.shuffle.partitions"]) == 200
     assert int(big["spark.sql.shuffle.partitions"]) == min(200_000, 100 * 1024 ** 4 // (256 * 1024 ** 2) + 1)
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)
+
+
+def test_study_checkpoints_deep_views(spark):
+    tables = clinical_tables(spark, SMOKE_DIR)
+    lazy = Study(tables, StudyParams(min_age_years=28.0, note_pattern="%6%"))["matchvalue"].count()
+    st = Study(tables, StudyParams(min_age_years=28.0, note_pattern="%6%"), checkpoint=("eligible", "patientsvalue"))
+    plan = st["patientsvalue"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" in plan and "Window" not in plan         # lineage cut at the checkpoint
+    assert st["matchvalue"].count() == lazy
