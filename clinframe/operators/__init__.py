@@ -6,7 +6,7 @@ from clinframe.operators.asof import (  # noqa: F401
 from clinframe.operators.clean import normalize_fio2, stage_signal, stage_spo2  # noqa: F401
 from clinframe.operators.cohort import (  # noqa: F401
     cohort_base, cohort_with_pf, count_events_in_stay, eligible, select_patients,
-    select_patients_surgical, service_at_entry,
+    select_patients_surgical, service_at_entry, service_rank1,
 )
 from clinframe.operators.features import pf_exclusion, pf_ratio, specimen_probability  # noqa: F401
 from clinframe.operators.merge import merge_sources  # noqa: F401

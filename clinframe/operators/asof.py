@@ -175,20 +175,22 @@ def match_values_chain(values: DataFrame, anchor: str = "pao2", features: Mappin
 
 
 def carry_forward(df: DataFrame, *, by: Sequence[str], time: str, value, name: str,
-                  bucket: str = "1 day") -> DataFrame:
+                  bucket: str = "1 day", tiebreak: str | None = None) -> DataFrame:
     """``df`` plus ``name`` = the latest non-NULL ``value`` among rows with the
     same ``by`` keys at or before each row's time (no lookback limit).
 
     Computed per ``(keys, time bucket)`` with a running ``last``, plus a
     carry-in from earlier buckets taken from a per-bucket summary (one row per
     key and bucket), so a key holding a large share of the rows is still
-    split by time.  Rows must have distinct times within a key.
+    split by time.  Rows with equal times are ordered by ``tiebreak`` (they
+    must otherwise have distinct times within a key).
     """
     width = interval_micros(bucket)
     value = F.col(value) if isinstance(value, str) else value
     x = (df.withColumn("_us", micros_since_epoch(time)).withColumn("_b", _bucket("_us", width))
          .withColumn("_val", value))
-    running = Window.partitionBy(*by, "_b").orderBy("_us").rowsBetween(Window.unboundedPreceding, 0)
+    order = ["_us"] + ([tiebreak] if tiebreak else [])
+    running = Window.partitionBy(*by, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     x = x.withColumn("_in", F.last("_val", ignorenulls=True).over(running))
     # Summary: last value of every bucket that has one, valid as carry-in for
     # the following buckets up to (and including) the next bucket with a value.

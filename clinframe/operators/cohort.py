@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clinframe.functions import rules as R
 from clinframe.functions.expr import days_between, shift, years_between
+from clinframe.operators.asof import carry_forward
 from clinframe.operators.rank import bucketed_rank
 
 STAY_KEYS = ("subject_id", "hadm_id", "icustay_id")
@@ -97,15 +98,51 @@ def service_at_entry(icustays: DataFrame, services: DataFrame, grace: str = "12
     return ranked.select("hadm_id", "icustay_id", "curr_service", "surgical", "rank")
 
 
+def service_rank1(icustays: DataFrame, services: DataFrame, grace: str = "12 hours",
+                  partition: str = "hadm_id") -> DataFrame:
+    """The rank-1 rows of :func:`service_at_entry`, without forming its pairs.
+
+    Rank 1 per ``partition`` is either the stays with no qualifying service
+    (NULL sorts first, descending) or, if there are none, the pairs at the
+    latest qualifying transfer time T of the partition.  So: L(stay) = latest
+    service of the admission before intime + grace (a carry-forward over a
+    services + probe timeline, split by day), T = max L and "any L is NULL"
+    per partition (partial aggregates), then an equi join to the services at
+    time T.  Returns ``(hadm_id, icustay_id, curr_service, surgical)``.
+    """
+    limit = F.expr(f"intime + INTERVAL {grace} - INTERVAL 1 MICROSECOND")   # t < x  <=>  t <= x - 1 us
+    probes = icustays.select("hadm_id", "icustay_id", limit.alias("_t"), F.lit(None).cast("timestamp_ntz")
+                             .alias("_svc_t"), F.lit(1).alias("_tie"))
+    svc = services.filter(F.col("transfertime").isNotNull()).select(
+        "hadm_id", F.lit(None).cast("long").alias("icustay_id"), F.col("transfertime").alias("_t"),
+        F.col("transfertime").alias("_svc_t"), F.lit(0).alias("_tie"))
+    timeline = svc.unionByName(probes).filter(F.col("hadm_id").isNotNull() | (F.col("_tie") == 1))
+    latest = (carry_forward(timeline, by=["hadm_id"], time="_t", value="_svc_t", name="_latest", tiebreak="_tie")
+              .filter(F.col("_tie") == 1)
+              .withColumn("_latest", F.when(F.col("hadm_id").isNotNull() & F.col("_t").isNotNull(),
+                                            F.col("_latest"))))
+    per = latest.groupBy(partition).agg(F.max("_latest").alias("_top"),
+                                        F.max(F.col("_latest").isNull().cast("int")).alias("_has_null"))
+    j = latest.join(per, latest[partition].eqNullSafe(per[partition]), "inner").drop(per[partition])
+    nulls = j.filter((F.col("_has_null") == 1) & F.col("_latest").isNull()).select(
+        "hadm_id", "icustay_id", F.lit(None).cast("string").alias("curr_service"))
+    tops = j.filter((F.col("_has_null") == 0) & (F.col("_latest") == F.col("_top")))
+    sv = services.select(F.col("hadm_id").alias("_sv_hadm"), F.col("transfertime").alias("_sv_t"), "curr_service")
+    pairs = tops.join(sv, (tops.hadm_id == sv._sv_hadm) & (tops._top == sv._sv_t), "inner").select(
+        "hadm_id", "icustay_id", "curr_service")
+    out = pairs.unionByName(nulls)
+    return out.withColumn("surgical", surgical_flag("curr_service"))
+
+
 def select_patients_surgical(icustays: DataFrame, patients: DataFrame, services: DataFrame,
                              min_los: float = 2.0, min_age: float = 16.0) -> DataFrame:
     """Surgical-study cohort: LOS, age, first stay and surgical-service flags.
 
-    Joins each stay to its rank-1 service row(s); tied transfer times give
-    more than one row per stay, as in the study.
+    Joins each stay to its rank-1 service row(s) (:func:`service_rank1`);
+    tied transfer times give more than one row per stay, as in the study.
     """
     base = cohort_base(icustays, patients)
-    serv = service_at_entry(icustays, services).filter(F.col("rank") == 1) \
+    serv = service_rank1(icustays, services) \
         .select(F.col("icustay_id").alias("_sv_stay"), F.col("surgical").alias("_surgical"))
     j = base.join(serv, base.icustay_id == serv._sv_stay, "left")
     return j.select(

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"   # compare floats bit for bit
+
 import duckdb
 
 DRIVER_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -24,7 +27,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return float(f"{v:.12g}")
+        return v if EXACT else float(f"{v:.12g}")
     if hasattr(v, "isoformat"):
         return v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat()
     if hasattr(v, "item"):

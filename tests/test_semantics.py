@@ -249,3 +249,26 @@ def test_clean_stream_on_a_streaming_source(spark, tmp_path):
     got = sorted(((r.label, r.valuenum) for r in spark.sql("SELECT * FROM clean_out").collect()),
                  key=lambda p: (p[0], p[1] is not None, p[1] or 0))
     assert got == [("hr", None), ("hr", 80.0)]   # 400 fails the HR bound; item 198 is not fetched
+
+
+def test_service_rank1_equals_rank_filter(spark):
+    import random
+    from datetime import timedelta
+    rnd = random.Random(3)
+    stays, svcs = [], []
+    for i in range(150):
+        h = rnd.choice([10, 10, 10, 11, 12, None])
+        stays.append((1, h, 1000 + i, ts(rnd.randint(0, 400)), ts(500)))
+    for j in range(300):
+        h = rnd.choice([10, 10, 11, 12, 13])
+        t = None if rnd.random() < 0.05 else ts(rnd.randint(-20, 420))   # equal times happen
+        svcs.append((1, h, t, None, rnd.choice(["MED", "CSURG", "ORTHO", "TRAUM"])))
+    svcs.append((1, 10, stays[0][3] + timedelta(hours=12), None, "NSURG"))           # exactly at the limit
+    icu, sv = frame(spark, "icustays", stays), frame(spark, "services", svcs)
+    for part in ("hadm_id", "icustay_id"):
+        want = sorted((r.icustay_id, r.curr_service, r.surgical) for r in
+                      op.service_at_entry(icu, sv, partition=part).filter("rank = 1").collect())
+        got = sorted((r.icustay_id, r.curr_service, r.surgical) for r in
+                     op.service_rank1(icu, sv, partition=part).collect())
+        key = lambda x: (x[0], x[1] or "", x[2])
+        assert sorted(got, key=key) == sorted(want, key=key), part
