@@ -33,7 +33,7 @@ def window_pivot(stays: DataFrame, events: DataFrame, *, join_keys: Sequence[str
                  items: Sequence[int], label: Column, value: Column, outputs: Sequence[str],
                  text_value: Column | None = None, text_outputs: Sequence[str] = (),
                  keep_empty: bool = True, stay_cols: Sequence[str] = STAY_KEYS,
-                 time: str = "charttime") -> DataFrame:
+                 time: str = "charttime", stay_key: str | None = "icustay_id", part: str = "all") -> DataFrame:
     """Pivot ``events`` inside each stay's ``[start, end]`` window.
 
     ``start``/``end`` are ``(stay column, interval or None)``, e.g.
@@ -41,6 +41,13 @@ def window_pivot(stays: DataFrame, events: DataFrame, *, join_keys: Sequence[str
     event columns; each name in ``outputs`` becomes ``max(value)`` of rows
     with that label (``text_outputs`` use ``text_value``).  Rows whose item
     has no label still form their (stay, time) group, with all NULLs.
+
+    ``stay_key`` is the key of the stay table: groups are formed on
+    ``(stay_key, time)`` with the other stay columns carried by ``max`` (they
+    depend on the key), so the result comes out hash-partitioned on
+    (stay, time) -- exactly what the chart/lab merge joins on.  ``part``
+    selects ``"events"`` (groups with events), ``"empty"`` (one NULL-time row
+    per stay without events) or ``"all"`` (their union).
     """
     s_cols = list(dict.fromkeys([*stay_cols, *join_keys]))
     s = stays.select(*[F.col(c).alias(f"_s_{c}") for c in s_cols],
@@ -58,8 +65,13 @@ def window_pivot(stays: DataFrame, events: DataFrame, *, join_keys: Sequence[str
     aggs = ([F.array_max(F.collect_set(F.when(F.col("_label") == name, F.col("_text")))).alias(name)
              for name in text_outputs]
             + [F.max(F.when(F.col("_label") == name, F.col("_value"))).alias(name) for name in outputs])
-    pivot = joined.groupBy(*stay_cols, time).agg(*aggs)
-    if not keep_empty:
+    if stay_key in stay_cols:
+        carried = [F.max(c).alias(c) for c in stay_cols if c != stay_key]
+        pivot = joined.groupBy(stay_key, time).agg(*carried, *aggs).select(
+            *stay_cols, time, *text_outputs, *outputs)
+    else:
+        pivot = joined.groupBy(*stay_cols, time).agg(*aggs)
+    if not keep_empty or part == "events":
         return pivot
     # Stays with at least one event: a distinct on the stay keys of the joined
     # rows (partially aggregated map-side, so even a hot stay ships one row
@@ -70,10 +82,10 @@ def window_pivot(stays: DataFrame, events: DataFrame, *, join_keys: Sequence[str
              .select(*stay_cols, F.lit(None).cast(events.schema[time].dataType).alias(time),
                      *[F.lit(None).cast("string").alias(n) for n in text_outputs],
                      *[F.lit(None).cast("double").alias(n) for n in outputs]))
-    return pivot.unionByName(empty)
+    return empty if part == "empty" else pivot.unionByName(empty)
 
 
-def chart_pivot(stays: DataFrame, chartevents: DataFrame, version: str = "v1.2") -> DataFrame:
+def chart_pivot(stays: DataFrame, chartevents: DataFrame, version: str = "v1.2", part: str = "all") -> DataFrame:
     """Charted vital signs per (stay, time) inside [intime, outtime].
 
     ``version`` selects the label vocabulary and cleaning rules: ``base``
@@ -83,13 +95,14 @@ def chart_pivot(stays: DataFrame, chartevents: DataFrame, version: str = "v1.2")
     return window_pivot(
         stays, chartevents, join_keys=STAY_KEYS, start=("intime", None), end=("outtime", None),
         items=R.chart_items(version), label=label_by_item("itemid", labels),
-        value=rule_value("itemid", "valuenum", value_rules), outputs=list(labels))
+        value=rule_value("itemid", "valuenum", value_rules), outputs=list(labels), part=part)
 
 
 def lab_pivot(stays: DataFrame, labevents: DataFrame, *, items: Sequence[int],
               labels: Mapping[int, str], outputs: Sequence[str], caps: Mapping[int, float],
               start=("intime", None), end=("outtime", None), text_outputs: Sequence[str] = (),
-              fio2_range: tuple[float, float] | None = None, keep_negative_base_excess: bool = False) -> DataFrame:
+              fio2_range: tuple[float, float] | None = None, keep_negative_base_excess: bool = False,
+              part: str = "all") -> DataFrame:
     """Laboratory values per (stay, time).  Labs carry no stay id, so they are
     joined on (subject, admission) and assigned to stays by time alone; a lab
     inside two overlapping stay windows appears under both stays.  See
@@ -99,7 +112,7 @@ def lab_pivot(stays: DataFrame, labevents: DataFrame, *, items: Sequence[int],
         stays, labevents, join_keys=("subject_id", "hadm_id"), start=start, end=end, items=items,
         label=label_by_item_map("itemid", labels),
         value=rule_value("itemid", "valuenum", value_rules),
-        outputs=outputs, text_value=F.col("value").cast("string"), text_outputs=text_outputs)
+        outputs=outputs, text_value=F.col("value").cast("string"), text_outputs=text_outputs, part=part)
 
 
 def lab_first_day(icustays: DataFrame, labevents: DataFrame, start="-6 hours", end="1 day",

@@ -108,7 +108,19 @@ class Study:
         return pivot.lab_in_stay(self._stays_for_pivots(), self.t["labevents"])
 
     def _build_patientsvalue(self):
-        return merge.merge_sources(self["patientschart"], self["patientslab"])
+        # Same rows as merge_sources(patientschart, patientslab).  The groups
+        # with events leave their pivots hash-partitioned on (stay, time), so
+        # their FULL JOIN needs no exchange; the NULL-time rows of event-less
+        # stays never match, so they are appended without a join.
+        if "patientschart" in self._cache or "patientslab" in self._cache:
+            return merge.merge_sources(self["patientschart"], self["patientslab"])
+        stays, v = self._stays_for_pivots(), self.p.chart_version
+        ce, le = self.t["chartevents"], self.t["labevents"]
+        timed = merge.merge_sources(pivot.chart_pivot(stays, ce, v, part="events"),
+                                    pivot.lab_in_stay(stays, le, part="events"))
+        empty = merge.merge_unmatched(pivot.chart_pivot(stays, ce, v, part="empty"),
+                                      pivot.lab_in_stay(stays, le, part="empty"))
+        return timed.unionByName(empty)
 
     def _build_matchvalue(self):
         return asof.match_values(self["patientsvalue"], anchor="pao2")
