@@ -76,3 +76,18 @@ def test_study_checkpoints_deep_views(spark):
     plan = st["patientsvalue"]._jdf.queryExecution().optimizedPlan().toString()
     assert "LogicalRDD" in plan and "Window" not in plan         # lineage cut at the checkpoint
     assert st["matchvalue"].count() == lazy
+
+
+def test_no_query_plans_pairs_sorts_or_python(spark):
+    """No nested-loop / cartesian joins, sort-based aggregates or Python UDFs in any query."""
+    import __spark_entry__ as E
+    banned = ("NestedLoop", "CartesianProduct", "SortAggregate", "PythonUDF", "ArrowEval", "BatchEval")
+    flagged = {}
+    for name, q in E.queries().items():
+        df = q(spark, SMOKE_DIR)
+        df.write.format("noop").mode("overwrite").save()
+        plan = _plan(df)
+        hits = [b for b in banned if b in plan]
+        if hits:
+            flagged[name] = hits
+    assert not flagged, flagged
