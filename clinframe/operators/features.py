@@ -27,9 +27,16 @@ def pf_ratio(po2: DataFrame, fio2_charted: DataFrame, lookback: str = "4 hours")
     return rows.withColumn("pf", pf)
 
 
-def pf_exclusion(pf: DataFrame, threshold: float = 300.0) -> DataFrame:
-    """Per stay: ``minpf`` and ``exclusion_pf`` = 1 when minpf > threshold or NULL."""
+def pf_exclusion(pf: DataFrame, threshold: float = 300.0, stays: DataFrame | None = None) -> DataFrame:
+    """Per stay: ``minpf`` and ``exclusion_pf`` = 1 when minpf > threshold or NULL.
+
+    With ``stays``, ``pf`` may hold only the rows of stays that have labs:
+    every other stay gets ``minpf`` NULL (so ``exclusion_pf`` 1), which is
+    what its single NULL-time row would give.
+    """
     agg = pf.groupBy(*STAY_KEYS).agg(F.min("pf").alias("minpf"))
+    if stays is not None:
+        agg = stays.select(*STAY_KEYS).distinct().join(agg, list(STAY_KEYS), "left")
     flag = F.when((F.col("minpf") > F.lit(float(threshold))) | F.col("minpf").isNull(), F.lit(1)).otherwise(F.lit(0))
     return agg.withColumn("exclusion_pf", flag)
 

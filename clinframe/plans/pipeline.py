@@ -89,7 +89,14 @@ class Study:
         return features.pf_ratio(self["po2sevenday"], self["fio2_chart"])
 
     def _build_pf(self):
-        return features.pf_exclusion(self["pf_rows"], self.p.pf_threshold)
+        if "pf_rows" in self._cache:
+            return features.pf_exclusion(self["pf_rows"], self.p.pf_threshold)
+        # Stays without seven-day labs only contribute a NULL-time row whose
+        # P/F is NULL; taking them from the stay table instead skips the pivot's
+        # event-less-stay branch (a second scan of the lab log).
+        icu = self.t["icustays"]
+        rows = features.pf_ratio(pivot.lab_seven_day(icu, self.t["labevents"], part="events"), self["fio2_chart"])
+        return features.pf_exclusion(rows, self.p.pf_threshold, stays=icu)
 
     def _build_cohort_with_pf(self):
         return cohort.cohort_with_pf(self["select_patient"], self["pf"])
@@ -116,17 +123,32 @@ class Study:
             return merge.merge_sources(self["patientschart"], self["patientslab"])
         stays, v = self._stays_for_pivots(), self.p.chart_version
         ce, le = self.t["chartevents"], self.t["labevents"]
-        timed = merge.merge_sources(pivot.chart_pivot(stays, ce, v, part="events"),
-                                    pivot.lab_in_stay(stays, le, part="events"))
+        if "_timed" in self._cache:
+            timed = self._cache["_timed"]
+        else:
+            timed = merge.merge_sources(pivot.chart_pivot(stays, ce, v, part="events"),
+                                        pivot.lab_in_stay(stays, le, part="events"))
         empty = merge.merge_unmatched(pivot.chart_pivot(stays, ce, v, part="empty"),
                                       pivot.lab_in_stay(stays, le, part="empty"))
         return timed.unionByName(empty)
 
+    def _timed_values(self):
+        """patientsvalue without the NULL-time rows of event-less stays (they
+        are never anchors nor features), unless patientsvalue is already built."""
+        if "patientsvalue" in self._cache or "patientschart" in self._cache or "patientslab" in self._cache:
+            return self["patientsvalue"]
+        if "_timed" not in self._cache:
+            stays, ce, le = self._stays_for_pivots(), self.t["chartevents"], self.t["labevents"]
+            self._cache["_timed"] = merge.merge_sources(
+                pivot.chart_pivot(stays, ce, self.p.chart_version, part="events"),
+                pivot.lab_in_stay(stays, le, part="events"))
+        return self._cache["_timed"]
+
     def _build_matchvalue(self):
-        return asof.match_values(self["patientsvalue"], anchor="pao2")
+        return asof.match_values(self._timed_values(), anchor="pao2")
 
     def _build_matchvalue_lab(self):
-        return asof.match_values(self["patientsvalue"], anchor="pao2_l")
+        return asof.match_values(self._timed_values(), anchor="pao2_l")
 
 
 def rebuild(spark: SparkSession, study: Study, sink: str, views=ORDER, mode: str = "overwrite",
