@@ -10,8 +10,10 @@ the key:
 
 The per-bucket counts come from a partially aggregated ``groupBy`` and their
 running sum is a window over at most (time span / bucket width) rows per key,
-so only that small table is ever grouped by the key alone.  The result equals
-the plain window (``row_number`` ties are arbitrary in both).
+so only that small table is ever grouped by the key alone.  ``rank`` needs no
+window over the rows at all (see :func:`_rank_by_counts`), so even a huge
+tie or NULL group costs one aggregated row.  The result equals the plain
+window (``row_number`` ties are arbitrary in both).
 """
 
 from __future__ import annotations
@@ -48,6 +50,9 @@ def bucketed_rank(df: DataFrame, partition_cols: Sequence[str], order_col: str,
           .otherwise(-b if descending else b)
     x = df.withColumn("_ous", us).withColumn("_rb", rb).drop("_ous")
 
+    if method == "rank":
+        return _rank_by_counts(df, x, partition_cols, order_col, order, name)
+
     local = x.withColumn("_local", fn().over(Window.partitionBy(*partition_cols, "_rb").orderBy(order)))
     counts = x.groupBy(*partition_cols, "_rb").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*partition_cols).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
@@ -56,3 +61,24 @@ def bucketed_rank(df: DataFrame, partition_cols: Sequence[str], order_col: str,
     cond = [local[c].eqNullSafe(offsets[f"_o_{c}"]) for c in partition_cols] + [local["_rb"] == offsets["_o_rb"]]
     out = local.join(offsets, cond, "inner")
     return out.select(*df.columns, (F.col("_off") + F.col("_local")).cast("long").alias(name))
+
+
+def _rank_by_counts(df: DataFrame, x: DataFrame, partition_cols, order_col: str, order, name: str) -> DataFrame:
+    """rank = 1 + rows before the value: counts per (key, bucket, value) are
+    partially aggregated (a tie group of any size becomes one row), summed
+    over the earlier values of the bucket and over the earlier buckets of the
+    key, then joined back -- no window ever runs over the raw rows."""
+    keys = [*partition_cols, "_rb"]
+    cnt = x.groupBy(*keys, order_col).agg(F.count(F.lit(1)).alias("_n"))
+    earlier_value = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    cnt = cnt.withColumn("_before_v", F.coalesce(F.sum("_n").over(earlier_value), F.lit(0)))
+    totals = cnt.groupBy(*keys).agg(F.sum("_n").alias("_bn"))
+    earlier_bucket = Window.partitionBy(*partition_cols).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*[F.col(k).alias(f"_t_{k}") for k in keys],
+                           F.coalesce(F.sum("_bn").over(earlier_bucket), F.lit(0)).alias("_before_b"))
+    tcond = [cnt[k].eqNullSafe(totals[f"_t_{k}"]) for k in keys]
+    ranks = cnt.join(totals, tcond, "inner").select(
+        *[F.col(k).alias(f"_r_{k}") for k in keys], F.col(order_col).alias("_r_v"),
+        (F.col("_before_b") + F.col("_before_v") + 1).cast("long").alias(name))
+    cond = [x[k].eqNullSafe(ranks[f"_r_{k}"]) for k in keys] + [x[order_col].eqNullSafe(ranks["_r_v"])]
+    return x.join(ranks, cond, "inner").select(*df.columns, name)
