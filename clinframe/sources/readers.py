@@ -9,9 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from clinframe.sources.schema import SCHEMAS, TABLES
 
 
-def read_parquet_tables(spark: SparkSession, root: str, names: Iterable[str] = TABLES) -> dict[str, DataFrame]:
-    """``{name: spark.read.parquet(root/name)}`` for each table present."""
-    return {n: spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in names}
+def read_parquet_tables(spark: SparkSession, root: str, names: Iterable[str] = TABLES,
+                        conform_schema: bool = False) -> dict[str, DataFrame]:
+    """``{name: spark.read.parquet(root/name)}`` for each table.
+
+    With ``conform_schema`` each known table is projected to the columns the
+    operators read, cast to the schema of :mod:`clinframe.sources.schema`
+    (column pruning still reaches the scan).
+    """
+    out = {}
+    for n in names:
+        df = spark.read.parquet(f"{root.rstrip('/')}/{n}")
+        out[n] = conform(df, n) if conform_schema and n in SCHEMAS else df
+    return out
 
 
 def read_catalog_tables(spark: SparkSession, database: str | None = None,

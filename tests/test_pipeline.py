@@ -91,3 +91,14 @@ def test_no_query_plans_pairs_sorts_or_python(spark):
         if hits:
             flagged[name] = hits
     assert not flagged, flagged
+
+
+def test_read_parquet_tables_conforms_schema(spark, tmp_path):
+    from clinframe.sources.schema import SCHEMAS
+    path = str(tmp_path / "tables")
+    df = spark.createDataFrame([(1, 2, 3, T0, ts(5), "extra")],
+                               "subject_id int, hadm_id int, icustay_id int, intime timestamp_ntz, "
+                               "outtime timestamp_ntz, junk string")
+    df.write.parquet(f"{path}/icustays")
+    got = read_parquet_tables(spark, path, names=["icustays"], conform_schema=True)["icustays"]
+    assert got.schema == SCHEMAS["icustays"]
