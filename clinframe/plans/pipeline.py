@@ -132,7 +132,7 @@ class Study:
                                       pivot.lab_in_stay(stays, le, part="empty"))
         return timed.unionByName(empty)
 
-    def _timed_values(self):
+    def timed_values(self) -> DataFrame:
         """patientsvalue without the NULL-time rows of event-less stays (they
         are never anchors nor features), unless patientsvalue is already built."""
         if "patientsvalue" in self._cache or "patientschart" in self._cache or "patientslab" in self._cache:
@@ -145,10 +145,10 @@ class Study:
         return self._cache["_timed"]
 
     def _build_matchvalue(self):
-        return asof.match_values(self._timed_values(), anchor="pao2")
+        return asof.match_values(self.timed_values(), anchor="pao2")
 
     def _build_matchvalue_lab(self):
-        return asof.match_values(self._timed_values(), anchor="pao2_l")
+        return asof.match_values(self.timed_values(), anchor="pao2_l")
 
 
 def rebuild(spark: SparkSession, study: Study, sink: str, views=ORDER, mode: str = "overwrite",
