@@ -113,3 +113,16 @@ def _sql(c) -> str:
     if isinstance(c, str):
         return f"`{c}`"
     raise TypeError("pass a column name")
+
+
+def bucket_of(column: str, width_us: int) -> Column:
+    """Exact floor(micros(column) / width) for a TIMESTAMP_NTZ column name."""
+    us = f"timestampdiff(MICROSECOND, {_EPOCH_NTZ}, `{column}`)"
+    return F.expr(f"({us} - pmod({us}, {int(width_us)})) div {int(width_us)}")
+
+
+def buckets_between(lo: str, hi: str, width_us: int) -> Column:
+    """Every bucket id from ``lo``'s to ``hi``'s (one row each when exploded);
+    NULL when either bound is NULL or ``hi < lo``."""
+    a, b = bucket_of(lo, width_us), bucket_of(hi, width_us)
+    return F.when(b >= a, F.sequence(a, b))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinframe.functions import rules as R
-from clinframe.functions.expr import days_between, shift, years_between
+from clinframe.functions.expr import bucket_of, buckets_between, days_between, interval_micros, shift, years_between
 from clinframe.operators.asof import carry_forward
 from clinframe.operators.rank import bucketed_rank
 
@@ -40,13 +40,19 @@ def cohort_base(icustays: DataFrame, patients: DataFrame, vent: DataFrame | None
 
 
 def count_events_in_stay(icustays: DataFrame, notes: DataFrame, category: str = "Radiology",
-                         pattern: str = "%CHEST%", name: str = "chest_num") -> DataFrame:
+                         pattern: str = "%CHEST%", name: str = "chest_num", band: str = "1 day") -> DataFrame:
     """Notes of the admission strictly inside (intime, outtime) with the given
     category and a description LIKE ``pattern``; stays without any are absent."""
+    width = interval_micros(band)
     n = notes.filter((F.col("category") == category) & F.col("description").like(pattern)) \
-             .select(F.col("hadm_id").alias("_n_hadm"), F.col("charttime").alias("_n_time"))
-    j = icustays.join(n, (icustays.hadm_id == n._n_hadm) & (n._n_time > icustays.intime)
-                      & (n._n_time < icustays.outtime), "inner")
+             .select(F.col("hadm_id").alias("_n_hadm"), F.col("charttime").alias("_n_time"),
+                     bucket_of("charttime", width).alias("_n_b"))
+    # Band join on (admission, day bucket): a note is only compared with the
+    # stays of its admission whose window reaches its day.
+    s = icustays.select(*STAY_KEYS, "intime", "outtime") \
+        .withColumn("_s_b", F.explode(buckets_between("intime", "outtime", width)))
+    j = s.join(n, (s.hadm_id == n._n_hadm) & (s._s_b == n._n_b) & (n._n_time > s.intime)
+               & (n._n_time < s.outtime), "inner")
     return j.groupBy(*STAY_KEYS).agg(F.count(F.lit(1)).alias(name))
 
 

@@ -18,7 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinframe.functions import rules as R
-from clinframe.functions.expr import is_distinct_from, label_by_item, label_by_item_map, rule_value, shift
+from clinframe.functions.expr import (
+    bucket_of, buckets_between, interval_micros, is_distinct_from, label_by_item, label_by_item_map, rule_value, shift,
+)
 from clinframe.operators.rank import bucketed_rank
 
 STAY_KEYS = ("subject_id", "hadm_id", "icustay_id")
@@ -33,7 +35,8 @@ def window_pivot(stays: DataFrame, events: DataFrame, *, join_keys: Sequence[str
                  items: Sequence[int], label: Column, value: Column, outputs: Sequence[str],
                  text_value: Column | None = None, text_outputs: Sequence[str] = (),
                  keep_empty: bool = True, stay_cols: Sequence[str] = STAY_KEYS,
-                 time: str = "charttime", stay_key: str | None = "icustay_id", part: str = "all") -> DataFrame:
+                 time: str = "charttime", stay_key: str | None = "icustay_id", part: str = "all",
+                 band: str = "1 day") -> DataFrame:
     """Pivot ``events`` inside each stay's ``[start, end]`` window.
 
     ``start``/``end`` are ``(stay column, interval or None)``, e.g.
@@ -49,13 +52,21 @@ def window_pivot(stays: DataFrame, events: DataFrame, *, join_keys: Sequence[str
     selects ``"events"`` (groups with events), ``"empty"`` (one NULL-time row
     per stay without events) or ``"all"`` (their union).
     """
+    # Band join: each stay is listed once per day bucket its window touches and
+    # each event carries its own bucket, so the equi key (ids, bucket) only
+    # pairs an event with the stays whose window reaches that day -- never
+    # with every stay of a large admission -- and a long stay is split by day.
+    width = interval_micros(band)
     s_cols = list(dict.fromkeys([*stay_cols, *join_keys]))
-    s = stays.select(*[F.col(c).alias(f"_s_{c}") for c in s_cols],
-                     _bound(start).alias("_lo"), _bound(end).alias("_hi"))
+    s = (stays.select(*[F.col(c).alias(f"_s_{c}") for c in s_cols],
+                      _bound(start).alias("_lo"), _bound(end).alias("_hi"))
+         .withColumn("_s_b", F.explode(buckets_between("_lo", "_hi", width))))
     e = events.filter(F.col("itemid").isin(list(items))).select(
         *join_keys, time, label.alias("_label"), value.alias("_value"),
-        *([text_value.alias("_text")] if text_outputs else []))
-    cond = [e[k] == s[f"_s_{k}"] for k in join_keys] + [e[time] >= s["_lo"], e[time] <= s["_hi"]]
+        *([text_value.alias("_text")] if text_outputs else []),
+        bucket_of(time, width).alias("_e_b"))
+    cond = ([e[k] == s[f"_s_{k}"] for k in join_keys] + [e["_e_b"] == s["_s_b"]]
+            + [e[time] >= s["_lo"], e[time] <= s["_hi"]])
     joined = e.join(s, cond, "inner").select(
         *[F.col(f"_s_{c}").alias(c) for c in stay_cols], time, "_label", "_value",
         *(["_text"] if text_outputs else []))

@@ -272,3 +272,27 @@ def test_service_rank1_equals_rank_filter(spark):
                      op.service_rank1(icu, sv, partition=part).collect())
         key = lambda x: (x[0], x[1] or "", x[2])
         assert sorted(got, key=key) == sorted(want, key=key), part
+
+
+def test_band_join_edges_against_brute_force(spark):
+    import random
+    from datetime import datetime, timedelta
+    rnd = random.Random(9)
+    midnight = datetime(2024, 1, 3)
+    stays = [(1, 10, 500 + i, midnight + timedelta(hours=rnd.choice([-7, -6, 0, 5, 17, 23]), minutes=rnd.randint(0, 59)),
+              None) for i in range(25)]                                  # 25 stays in one admission
+    stays = [(s, h, i, t, t + timedelta(days=1)) for s, h, i, t, _ in stays]
+    labs = []
+    for s in stays:
+        lo, hi = s[3] - timedelta(hours=6), s[3] + timedelta(days=7)
+        for t in (lo, hi, lo - timedelta(microseconds=1), hi + timedelta(microseconds=1)):
+            labs.append((1, 10, 50821, t, None, 80.0 + len(labs)))
+    for _ in range(300):
+        labs.append((1, 10, 50821, midnight + timedelta(minutes=rnd.randint(-600, 12000)), None, 90.0))
+    labs = list({r[3]: r for r in labs}.values())                        # unique times
+    got = {(r.icustay_id, r.charttime) for r in
+           op.lab_seven_day(frame(spark, "icustays", stays), frame(spark, "labevents", labs))
+           .filter("charttime is not null").collect()}
+    want = {(s[2], lab[3]) for s in stays for lab in labs
+            if s[3] - timedelta(hours=6) <= lab[3] <= s[3] + timedelta(days=7)}
+    assert got == want
