@@ -255,3 +255,32 @@ def capped_rules(items, caps: dict[int, float], fio2_range: tuple[float, float]
 def chart_items(version: str) -> tuple[int, ...]:
     labels, _ = CHART_VERSIONS[version]
     return tuple(i for items in labels.values() for i in items)
+
+
+RULE_SETS = {
+    "chart_base": (BASE_CHART_LABELS, CHART_RULES_BASE),
+    "chart_v1.1": (CHART_LABELS, CHART_RULES_V11),
+    "chart_v1.2": (CHART_LABELS, CHART_RULES_V12),
+    "fio2_charted": ({"fio2": FIO2_ITEMS}, FIO2_RULES),
+    "spo2_stage": ({"spo2": SPO2_ITEMS}, SPO2_RULES),
+    "bloodgas": ({v: (k,) for k, v in BLOODGAS_LABELS.items()}, capped_rules(BLOODGAS_ITEMS, BLOODGAS_CAPS)),
+    "lab_pf": ({v: (k,) for k, v in LAB_PF_LABELS.items()}, capped_rules(LAB_IN_STAY_ITEMS, LAB_PF_CAPS)),
+}
+
+
+def rules_table(spark, name: str | None = None):
+    """The versioned rule sets as a DataFrame, one row per (rule set, item,
+    position): ``label, lo, lo_incl, hi, hi_incl, transform``.  For review
+    and audit; the operators apply the same rules as CASE expressions."""
+    rows = []
+    for set_name, (labels, rules) in RULE_SETS.items():
+        if name and set_name != name:
+            continue
+        label_of = {i: lab for lab, items in labels.items() for i in items}
+        for items, ranges in rules:
+            for item in items:
+                for pos, r in enumerate(ranges):
+                    rows.append((set_name, item, label_of.get(item), pos, None if r.lo is None else float(r.lo),
+                                 r.lo_incl, None if r.hi is None else float(r.hi), r.hi_incl, r.transform))
+    return spark.createDataFrame(rows, "rule_set string, itemid int, label string, position int, lo double, "
+                                       "lo_incl boolean, hi double, hi_incl boolean, transform string")

@@ -296,3 +296,14 @@ def test_band_join_edges_against_brute_force(spark):
     want = {(s[2], lab[3]) for s in stays for lab in labs
             if s[3] - timedelta(hours=6) <= lab[3] <= s[3] + timedelta(days=7)}
     assert got == want
+
+
+def test_rules_table_lists_every_versioned_rule(spark):
+    from clinframe.functions.rules import rules_table
+    t = rules_table(spark)
+    v12 = t.filter("rule_set = 'chart_v1.2'")
+    assert v12.select("itemid").distinct().count() == 61
+    fio2 = {(r.position, r.lo, r.hi, r.transform) for r in v12.filter("itemid = 223835").collect()}
+    assert fio2 == {(0, 0.0, 1.0, "percent"), (1, 21.0, 100.0, "keep")}
+    v11 = t.filter("rule_set = 'chart_v1.1' AND itemid = 220277").orderBy("position").collect()
+    assert [(r.lo, r.hi) for r in v11] == [(0.0, None), (None, 100.0)]     # the shadowing first rule
