@@ -1,3 +1,3 @@
 """The study's view DAG (lazy DataFrames) and its materialising rebuild."""
 
-from clinframe.plans.pipeline import ORDER, Study, StudyParams, rebuild  # noqa: F401
+from clinframe.plans.study import ORDER, Study, StudyParams, rebuild  # noqa: F401
