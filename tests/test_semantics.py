@@ -307,3 +307,56 @@ def test_rules_table_lists_every_versioned_rule(spark):
     assert fio2 == {(0, 0.0, 1.0, "percent"), (1, 21.0, 100.0, "keep")}
     v11 = t.filter("rule_set = 'chart_v1.1' AND itemid = 220277").orderBy("position").collect()
     assert [(r.lo, r.hi) for r in v11] == [(0.0, None), (None, 100.0)]     # the shadowing first rule
+
+
+def test_chart_pivot_random_with_nulls_against_brute_force(spark):
+    import random
+    from datetime import timedelta
+    from clinframe.functions.rules import CHART_LABELS, CHART_RULES_V12, chart_items
+    rnd = random.Random(21)
+
+    def clean(item, v):
+        if v is None:
+            return None
+        for items, ranges in CHART_RULES_V12:
+            if item in items:
+                for r in ranges:
+                    ok = ((r.lo is None or (v >= r.lo if r.lo_incl else v > r.lo))
+                          and (r.hi is None or (v <= r.hi if r.hi_incl else v < r.hi)))
+                    if ok:
+                        return {"keep": v, "percent": v * 100.0, "f_to_c": (v - 32.0) * 5.0 / 9.0}[r.transform]
+                return None
+        return None
+
+    stays = []
+    for i in range(12):
+        start = None if i == 0 else ts(rnd.randint(0, 100))
+        stays.append((1, 10 + i % 3, 700 + i, start, None if start is None else start + timedelta(hours=rnd.randint(1, 60))))
+    items = list(chart_items("v1.2")) + [999999]
+    events = []
+    for _ in range(600):
+        s = rnd.choice(stays)
+        t = None if rnd.random() < 0.03 else ts(rnd.randint(0, 170) + rnd.choice([0, 0.5]))
+        v = None if rnd.random() < 0.05 else rnd.choice([rnd.uniform(-5, 500), rnd.uniform(0, 1.2), 100.0, 21.0])
+        events.append((s[0], s[1], s[2], rnd.choice(items), t, None, v, None, 0))
+    got = {(r.icustay_id, r.charttime): tuple(getattr(r, k) for k in CHART_LABELS)
+           for r in op.chart_pivot(frame(spark, "icustays", stays), frame(spark, "chartevents", events)).collect()}
+    want, label_of = {}, {i: k for k, ids in CHART_LABELS.items() for i in ids}
+    for s in stays:
+        rows = [e for e in events if e[2] == s[2] and e[1] == s[1] and e[3] in label_of and e[4] is not None
+                and s[3] is not None and s[3] <= e[4] <= s[4]]
+        if not rows:
+            want[(s[2], None)] = tuple([None] * len(CHART_LABELS))
+        for e in rows:
+            cur = list(want.get((s[2], e[4]), [None] * len(CHART_LABELS)))
+            k = list(CHART_LABELS).index(label_of[e[3]])
+            val = clean(e[3], e[6])
+            if val is not None and (cur[k] is None or val > cur[k]):
+                cur[k] = val
+            want[(s[2], e[4])] = tuple(cur)
+    def rounded(row):
+        return tuple(None if x is None else round(x, 9) for x in row)
+
+    assert got.keys() == want.keys()
+    assert {k: rounded(v) for k, v in got.items()} == {k: rounded(v) for k, v in want.items()}
+    assert sum(1 for v in want.values() if any(x is not None for x in v)) > 20      # the check has teeth
