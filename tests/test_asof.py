@@ -142,3 +142,28 @@ def test_carry_forward_equals_unbounded_window(spark):
     w = Window.partitionBy("k").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
     want = {r.id: r.c for r in df.withColumn("c", F.last("v", ignorenulls=True).over(w)).collect()}
     assert got == want
+
+
+def test_candidates_random_against_brute_force(spark):
+    rnd = random.Random(13)
+    anchors, feats, used = [], [], set()
+    for _ in range(400):
+        k = 1 if rnd.random() < 0.5 else rnd.randint(2, 4)
+        t = T0 + timedelta(minutes=rnd.randint(0, 3 * 24 * 60))
+        if (k, t) in used:
+            continue
+        used.add((k, t))
+        (anchors if rnd.random() < 0.3 else feats).append((k, t, rnd.random()))
+    a0 = anchors[0]
+    feats += [(a0[0], a0[1] - timedelta(hours=4), 0.1), (a0[0], a0[1] - timedelta(hours=4, microseconds=1), 0.2)]
+    rows = op.asof_candidates(spark.createDataFrame(anchors, SCHEMA_A), spark.createDataFrame(feats, SCHEMA_F),
+                              by=("icustay_id",), value_cols=["spo2"], lookback="4 hours").collect()
+    got = {}
+    for r in rows:
+        got.setdefault((r.icustay_id, r.charttime), []).append((r.rn, r.spo2))
+    for k, t, _ in anchors:
+        cands = sorted(((ft, v) for fk, ft, v in feats if fk == k and t - timedelta(hours=4) <= ft <= t),
+                       reverse=True)
+        want = [(i + 1, v) for i, (_, v) in enumerate(cands)] or [(1, None)]
+        assert sorted(got[(k, t)]) == want, (k, t)
+    assert len(got) == len(anchors)
