@@ -1,13 +1,14 @@
 """Long event logs to one row per (stay, time): window join + conditional-max pivot.
 
-Plan shape (the same for every pivot): the filtered event log is joined to
-the stay windows with an equi join on the id keys plus a closed time range,
-partially aggregated map-side, shuffled once on the full group key (which
-contains the time, so one long stay spreads over many tasks) and finally
-aggregated.  Stays without any event get one row with a NULL time via a
-left-anti join on the small stay table, which reproduces LEFT JOIN + GROUP BY
-without making the large event side the non-preserved side of an outer join
-(so AQE may broadcast the stays or split skewed partitions on either side).
+Plan shape (the same for every pivot): the filtered event log is band-joined
+to the stay windows -- equi join on (ids, day bucket), each stay listed once
+per day its window touches, then the closed time range -- partially
+aggregated map-side, shuffled once on (stay, time) (so one long stay spreads
+over many tasks) and finally aggregated.  Stays without any event get one row
+with a NULL time via a left-anti join from the small stay table, which
+reproduces LEFT JOIN + GROUP BY without making the large event side the
+non-preserved side of an outer join (so AQE may broadcast the stays or split
+skewed partitions on either side).
 """
 
 from __future__ import annotations
