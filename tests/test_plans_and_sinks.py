@@ -102,3 +102,13 @@ def test_read_parquet_tables_conforms_schema(spark, tmp_path):
     df.write.parquet(f"{path}/icustays")
     got = read_parquet_tables(spark, path, names=["icustays"], conform_schema=True)["icustays"]
     assert got.schema == SCHEMAS["icustays"]
+
+
+def test_command_line_rebuild(spark, tmp_path):
+    from clinframe.__main__ import main
+    src = tmp_path / "clinical"
+    for name, df in clinical_tables(spark, SMOKE_DIR).items():
+        df.write.parquet(str(src / name))
+    paths = main(["rebuild", str(src), str(tmp_path / "views"), "--views", "select_patient,po2sevenday,pf"])
+    assert list(paths) == ["select_patient", "po2sevenday", "pf"]
+    assert spark.read.parquet(paths["pf"]).count() == spark.read.parquet(str(src / "icustays")).count()
