@@ -19,6 +19,11 @@ Mapping (``k`` is the integer in ``events.props`` JSON ``{"k": n}``):
   first so fraction-scaled items see fractions;
 * ``noteevents``: view events; ``services``: purchase events;
 * ``patients``: customers, birth = first order date; ``admissions``: orders.
+
+The ``%`` terms only *derive attributes* (which item an event measures,
+whether a stay has a vent or height row, the error flag); no input row is
+dropped to make anything cheaper -- every event becomes a stay, a chart and
+lab panel, a note or a service transfer, so the work grows with the tables.
 """
 
 from __future__ import annotations
