@@ -97,7 +97,8 @@ def window_pivot(stays: DataFrame, events: DataFrame, *, join_keys: Sequence[str
     return empty if part == "empty" else pivot.unionByName(empty)
 
 
-def chart_pivot(stays: DataFrame, chartevents: DataFrame, version: str = "v1.2", part: str = "all") -> DataFrame:
+def chart_pivot(stays: DataFrame, chartevents: DataFrame, version: str = "v1.2", part: str = "all",
+                band: str = "1 day") -> DataFrame:
     """Charted vital signs per (stay, time) inside [intime, outtime].
 
     ``version`` selects the label vocabulary and cleaning rules: ``base``
@@ -107,14 +108,14 @@ def chart_pivot(stays: DataFrame, chartevents: DataFrame, version: str = "v1.2",
     return window_pivot(
         stays, chartevents, join_keys=STAY_KEYS, start=("intime", None), end=("outtime", None),
         items=R.chart_items(version), label=label_by_item("itemid", labels),
-        value=rule_value("itemid", "valuenum", value_rules), outputs=list(labels), part=part)
+        value=rule_value("itemid", "valuenum", value_rules), outputs=list(labels), part=part, band=band)
 
 
 def lab_pivot(stays: DataFrame, labevents: DataFrame, *, items: Sequence[int],
               labels: Mapping[int, str], outputs: Sequence[str], caps: Mapping[int, float],
               start=("intime", None), end=("outtime", None), text_outputs: Sequence[str] = (),
               fio2_range: tuple[float, float] | None = None, keep_negative_base_excess: bool = False,
-              part: str = "all") -> DataFrame:
+              part: str = "all", band: str = "1 day") -> DataFrame:
     """Laboratory values per (stay, time).  Labs carry no stay id, so they are
     joined on (subject, admission) and assigned to stays by time alone; a lab
     inside two overlapping stay windows appears under both stays.  See
@@ -124,7 +125,8 @@ def lab_pivot(stays: DataFrame, labevents: DataFrame, *, items: Sequence[int],
         stays, labevents, join_keys=("subject_id", "hadm_id"), start=start, end=end, items=items,
         label=label_by_item_map("itemid", labels),
         value=rule_value("itemid", "valuenum", value_rules),
-        outputs=outputs, text_value=F.col("value").cast("string"), text_outputs=text_outputs, part=part)
+        outputs=outputs, text_value=F.col("value").cast("string"), text_outputs=text_outputs, part=part,
+        band=band)
 
 
 def lab_first_day(icustays: DataFrame, labevents: DataFrame, start="-6 hours", end="1 day",

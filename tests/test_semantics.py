@@ -293,6 +293,10 @@ def test_band_join_edges_against_brute_force(spark):
     got = {(r.icustay_id, r.charttime) for r in
            op.lab_seven_day(frame(spark, "icustays", stays), frame(spark, "labevents", labs))
            .filter("charttime is not null").collect()}
+    hourly = {(r.icustay_id, r.charttime) for r in
+              op.lab_seven_day(frame(spark, "icustays", stays), frame(spark, "labevents", labs), band="1 hour")
+              .filter("charttime is not null").collect()}
+    assert hourly == got
     want = {(s[2], lab[3]) for s in stays for lab in labs
             if s[3] - timedelta(hours=6) <= lab[3] <= s[3] + timedelta(days=7)}
     assert got == want
