@@ -6,7 +6,9 @@ rows to a single stay (time order kept), stores it, and then runs the
 
 * ``per_stay``: the windows partitioned by the stay alone (a plain
   window, what a direct translation would do);
-* ``bucketed``: :func:`clinframe.operators.match_values` (stay, day bucket).
+* ``bucketed``: :func:`clinframe.operators.match_values` (stay, day bucket);
+
+and ``rank()`` per stay by time, as a plain window vs :func:`bucketed_rank`.
 
 For each, Spark's event log (written to a scratch folder; no UI) gives the
 shuffle records read by every task of the window stage.  Prints one JSON
@@ -77,7 +79,15 @@ def main(sf_dir: str) -> None:
     hot_rows = spark.read.parquet(values_path).filter(F.col("icustay_id") == HOT).count()
     spark.stop()
 
-    for name, build in (("per_stay", per_stay), ("bucketed", op.match_values)):
+    def rank_plain(values):
+        return values.filter("charttime is not null").withColumn(
+            "rk", F.rank().over(Window.partitionBy("icustay_id").orderBy("charttime")))
+
+    def rank_bucketed(values):
+        return op.bucketed_rank(values.filter("charttime is not null"), ["icustay_id"], "charttime", name="rk")
+
+    for name, build in (("per_stay", per_stay), ("bucketed", op.match_values),
+                        ("rank_per_stay", rank_plain), ("rank_bucketed", rank_bucketed)):
         log_dir = f"{scratch}/events-{name}"
         os.makedirs(log_dir)
         spark = get_spark("local[8]", shuffle_partitions=64, **{
