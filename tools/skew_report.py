@@ -23,7 +23,7 @@ import glob
 import json
 import os
 import sys
-import tempfile
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from clinframe import get_spark, operators as op  # noqa: E402
 from clinframe.functions.rules import MATCH_FEATURES  # noqa: E402
 from clinframe.plans import Study  # noqa: E402
+from clinframe.session import ensure_checkpoint_dir  # noqa: E402
 from clinframe.sources import clinical_tables  # noqa: E402
 
 HOT = -1
@@ -67,10 +68,11 @@ def task_records(log_dir: str):
 
 
 def main(sf_dir: str) -> None:
-    scratch = tempfile.mkdtemp(prefix="clinframe-skew-", dir="/tmp")
     results = {}
-    values_path = f"{scratch}/patientsvalue"
     spark = get_spark("local[8]", shuffle_partitions=64)
+    # Scratch under the session's checkpoint folder (a shared path on a cluster).
+    scratch = f"{ensure_checkpoint_dir(spark).rstrip('/')}/skew-{uuid.uuid4().hex}"
+    values_path = f"{scratch}/patientsvalue"
     t = clinical_tables(spark, sf_dir)
     pv = Study(t, stays=t["icustays"])["patientsvalue"]
     hot = F.when(F.abs(F.hash("icustay_id")) % 3 == 0, F.lit(HOT)).otherwise(F.col("icustay_id"))
