@@ -24,7 +24,7 @@ def scratch_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Cuts the lineage (a lost executor costs one stage, not the whole chain),
@@ -33,7 +33,7 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     out = spark.read.schema(df.schema).parquet(path)
     out._llm_path = path
     return out
@@ -56,10 +56,6 @@ def text_key(text_col: str = "text"):
     return F.coalesce(F.xxhash64(F.col(text_col)), F.lit(0))
 
 
-def batches(schema: pa.Schema, rows) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(rows, schema)], schema=schema)
-
-
 # --------------------------------------------------------------------- hashing
 
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -81,14 +77,15 @@ WHITE = b" \t\n\v\f\r"
 class WordHasher:
     """64-bit hashes of the words of UTF-8 texts, computed on whole byte arrays.
 
-    ``plain``: words are runs without ASCII white space, A-Z lower-cased.
+    Plain: words are runs without ASCII white space, A-Z lower-cased on request.
     ``folded``: words are runs of letters, digits and non-ASCII bytes; ASCII and
     general punctuation separates; callers fold case before.
     """
 
-    def __init__(self, folded: bool = False):
+    def __init__(self, folded: bool = False, lower_case: bool = True):
         lower = np.arange(256, dtype=np.uint64)
-        lower[65:91] += np.uint64(32)
+        if lower_case:
+            lower[65:91] += np.uint64(32)
         self.value = mix(lower, 77)
         self.sep = np.zeros(256, bool)
         self.sep[list(WHITE)] = True
@@ -177,13 +174,15 @@ class WordHasher:
         return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 
-_hashers: dict[bool, WordHasher] = {}
+_hashers: dict = {}
 
 
-def hasher(folded: bool = False) -> WordHasher:
-    if folded not in _hashers:
-        _hashers[folded] = WordHasher(folded)
-    return _hashers[folded]
+def hasher(folded: bool = False, lower_case: bool = True) -> WordHasher:
+    """A hasher, made once per task."""
+    key = (folded, lower_case)
+    if key not in _hashers:
+        _hashers[key] = WordHasher(folded, lower_case)
+    return _hashers[key]
 
 
 def shingles(words: np.ndarray, k: int, whole_if_short: bool = True) -> np.ndarray:

@@ -4,20 +4,51 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .decontaminate import contaminated_pairs
+from .line_dedup import line_dedup
 from .near_dup import near_duplicates
+from .oracle import ORACLE
+from .packing import pack
+from .quality import line_frequency
 
 
 def _read(spark, sf_dir: str, table: str):
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_string_tiling(spark, sf_dir):
+    """(document, benchmark item) pairs where the document holds the item."""
+    return contaminated_pairs(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op2_superminhash(spark, sf_dir):
     """Near-duplicate components of all documents (4-word shingles, similarity 0.8)."""
     return near_duplicates(_read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_line_frequency(spark, sf_dir):
+    """Base statistics and line-frequency verdict of every document."""
+    return line_frequency(_read(spark, sf_dir, "documents")).drop("tkey", "host", "frequent")
+
+
+def op5_nnls_packing(spark, sf_dir):
+    """All documents packed into sequences of 1024 tokens."""
+    out = pack(_read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op7_line_windows(spark, sf_dir):
+    """Every document without later copies of three-line windows, as digests."""
+    out = line_dedup(_read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "line_dedup.*", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
+
+
 QUERIES = {
+    "op1_string_tiling": op1_string_tiling,
     "op2_superminhash": op2_superminhash,
+    "op4_line_frequency": op4_line_frequency,
+    "op5_nnls_packing": op5_nnls_packing,
+    "op7_line_windows": op7_line_windows,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]

@@ -8,21 +8,51 @@ stage's ``docs``.  All stages but the last return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clinframe.llm.common import cut
+from clinframe.llm.decontaminate import drop_contaminated
+from clinframe.llm.line_dedup import line_dedup
 from clinframe.llm.near_dup import drop_near_duplicates
+from clinframe.llm.packing import pack
+from clinframe.llm.quality import drop_poor
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go; frequent lines of their host leave the others."""
+    return drop_poor(docs)
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of three-line windows go, and documents of which nothing is left."""
+    out = line_dedup(docs).filter((F.col("line_dedup.n_removed") == 0) | (F.col("line_dedup.n_removed") < F.col("line_dedup.n_lines")))
+    return out.select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else c for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup: five-word shingles, similarity 0.8; one document of each group stays."""
+    """Five-word shingles, similarity 0.8; one document of each group stays."""
     return drop_near_duplicates(docs, k=5)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces packed into sequences of 1024."""
+    return pack(docs)
+
+
 STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup_stage),
     ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("packing", packing),
 ]
 
-ORACLE_SQL = None  # MinHash candidates and token packing have no SQL form; tests compare with brute force
+ORACLE_SQL = None  # near-duplicate search and packing have no SQL form; tests compare with brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
