@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .decontaminate import contaminated_pairs
+from .html_text import extract
+from .language_id import identify
 from .line_dedup import line_dedup
 from .near_dup import near_duplicates
 from .oracle import ORACLE
 from .packing import pack
 from .quality import line_frequency
+from .url_filter import url_verdicts
 
 
 def _read(spark, sf_dir: str, table: str):
@@ -26,6 +29,11 @@ def op2_superminhash(spark, sf_dir):
     return near_duplicates(_read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op3_html_blocks(spark, sf_dir):
+    """Main text of every page."""
+    return extract(_read(spark, sf_dir, "pages"))
+
+
 def op4_line_frequency(spark, sf_dir):
     """Base statistics and line-frequency verdict of every document."""
     return line_frequency(_read(spark, sf_dir, "documents")).drop("tkey", "host", "frequent")
@@ -43,12 +51,25 @@ def op7_line_windows(spark, sf_dir):
     return out.select("doc_id", "line_dedup.*", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
 
 
+def op8_kneser_ney(spark, sf_dir):
+    """Language of every document, learned from four of five."""
+    return identify(_read(spark, sf_dir, "documents")).drop("entropy")
+
+
+def op9_url_trees(spark, sf_dir):
+    """Verdict on the URL of every page."""
+    return url_verdicts(_read(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
 QUERIES = {
     "op1_string_tiling": op1_string_tiling,
     "op2_superminhash": op2_superminhash,
+    "op3_html_blocks": op3_html_blocks,
     "op4_line_frequency": op4_line_frequency,
     "op5_nnls_packing": op5_nnls_packing,
     "op7_line_windows": op7_line_windows,
+    "op8_kneser_ney": op8_kneser_ney,
+    "op9_url_trees": op9_url_trees,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
