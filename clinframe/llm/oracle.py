@@ -1,5 +1,7 @@
 """DuckDB SQL of the operators that SQL can express, over the registered tables."""
 
+from .licenses import TEMPLATES
+
 LINE_WINDOWS = r"""
 WITH raw AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls, text FROM documents),
 l AS (SELECT doc_id, i, ls[i] AS line, trim(regexp_replace(lower(ls[i]), '[ \t\x0B\f\r]+', ' ', 'g')) AS norm
@@ -49,4 +51,18 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM a
 """
 
-ORACLE = {"op4_line_frequency": LINE_FREQUENCY, "op7_line_windows": LINE_WINDOWS}
+LICENSES = r"""
+WITH tpl(license, text) AS (VALUES %s),
+tw AS (SELECT license, list_filter(string_split(trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')), ' '), lambda w: w <> '') AS w FROM tpl),
+ts AS (SELECT DISTINCT license, len(w) AS n, w[i:i + least(5, len(w)) - 1] AS sh
+       FROM (SELECT license, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM tw)),
+dw AS (SELECT doc_id, list_filter(string_split(trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')), ' '), lambda w: w <> '') AS w FROM documents),
+ds AS (SELECT doc_id, w[i:i + k - 1] AS sh FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+       FROM dw, (SELECT DISTINCT len(sh) AS k FROM ts) WHERE len(w) >= k)),
+hit AS (SELECT ds.doc_id, ts.license, count(DISTINCT ts.sh) AS n_found FROM ds JOIN ts ON ts.sh = ds.sh GROUP BY ALL),
+size AS (SELECT license, count(*) AS n_template FROM ts GROUP BY license)
+SELECT doc_id, license, n_found, n_template, n_found / n_template AS containment
+FROM hit JOIN size USING (license) WHERE 100 * n_found >= 80 * n_template
+""" % ", ".join("('%s', '%s')" % (n, t.replace("'", "''")) for n, t in TEMPLATES)
+
+ORACLE = {"op4_line_frequency": LINE_FREQUENCY, "op7_line_windows": LINE_WINDOWS, "op10_license_bands": LICENSES}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .decontaminate import contaminated_pairs
 from .html_text import extract
 from .language_id import identify
+from .licenses import scan
 from .line_dedup import line_dedup
 from .near_dup import near_duplicates
 from .oracle import ORACLE
@@ -61,6 +62,11 @@ def op9_url_trees(spark, sf_dir):
     return url_verdicts(_read(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
 
 
+def op10_license_bands(spark, sf_dir):
+    """(document, license) pairs over all documents."""
+    return scan(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_string_tiling": op1_string_tiling,
     "op2_superminhash": op2_superminhash,
@@ -70,6 +76,7 @@ QUERIES = {
     "op7_line_windows": op7_line_windows,
     "op8_kneser_ney": op8_kneser_ney,
     "op9_url_trees": op9_url_trees,
+    "op10_license_bands": op10_license_bands,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
