@@ -13,6 +13,7 @@ from .near_dup import near_duplicates
 from .oracle import ORACLE
 from .packing import pack
 from .quality import line_frequency
+from .substring_dedup import repeated_bytes
 from .url_filter import url_verdicts
 
 
@@ -46,6 +47,12 @@ def op5_nnls_packing(spark, sf_dir):
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op6_induced_suffixes(spark, sf_dir):
+    """Bytes of every document covered by repeated strings of 400 bytes."""
+    out = repeated_bytes(_read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op7_line_windows(spark, sf_dir):
     """Every document without later copies of three-line windows, as digests."""
     out = line_dedup(_read(spark, sf_dir, "documents"))
@@ -73,6 +80,7 @@ QUERIES = {
     "op3_html_blocks": op3_html_blocks,
     "op4_line_frequency": op4_line_frequency,
     "op5_nnls_packing": op5_nnls_packing,
+    "op6_induced_suffixes": op6_induced_suffixes,
     "op7_line_windows": op7_line_windows,
     "op8_kneser_ney": op8_kneser_ney,
     "op9_url_trees": op9_url_trees,
