@@ -257,6 +257,43 @@ def chart_items(version: str) -> tuple[int, ...]:
     return tuple(i for items in labels.values() for i in items)
 
 
+def _number(x: float | None) -> str:
+    return "CAST(NULL AS DOUBLE)" if x is None else f"{float(x)!r}D"
+
+
+def item_rules(spark, items, labels, rules):
+    """One row per fetched item: itemid, label, and its first and second range
+    (``lo0, lo0_incl, hi0, hi0_incl, t0, lo1, ...``; ``t`` NULL where there is none).
+
+    A literal table, so its size is known to the optimizer.  The ranges are
+    listed in ``rules`` order; no item has more than two.
+    """
+    label_of = {i: name for name, ids in labels.items() for i in ids}
+    ranges = {i: [r for ids, listed in rules if i in ids for r in listed] for i in items}
+    assert all(len(r) <= 2 for r in ranges.values()), "an item has more than two ranges"
+    rows = []
+    for i in dict.fromkeys(items):
+        cells = [str(int(i)), f"'{label_of[i]}'" if i in label_of else "CAST(NULL AS STRING)"]
+        for r in (ranges[i] + [None, None])[:2]:
+            cells += ([_number(r.lo), str(r.lo_incl).lower(), _number(r.hi), str(r.hi_incl).lower(), f"'{r.transform}'"] if r else
+                      [_number(None), "false", _number(None), "false", "CAST(NULL AS STRING)"])
+        rows.append("(" + ", ".join(cells) + ")")
+    names = ["itemid", "label"] + [f"{c}{n}{x}" for n in (0, 1) for c, x in (("lo", ""), ("lo", "_incl"), ("hi", ""), ("hi", "_incl"), ("t", ""))]
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS rules({', '.join(names)})")
+
+
+def ruled_value(value: str):
+    """Cleaned ``value`` of a row joined with :func:`item_rules`: the transform of the first range that accepts it."""
+    from pyspark.sql import functions as F
+    v, out = F.col(value), F.lit(None).cast("double")
+    for n in (1, 0):
+        low = F.col(f"lo{n}").isNull() | (v > F.col(f"lo{n}")) | (F.col(f"lo{n}_incl") & (v == F.col(f"lo{n}")))
+        high = F.col(f"hi{n}").isNull() | (v < F.col(f"hi{n}")) | (F.col(f"hi{n}_incl") & (v == F.col(f"hi{n}")))
+        done = F.when(F.col(f"t{n}") == PERCENT, v * 100.0).when(F.col(f"t{n}") == F_TO_C, (v - 32.0) * 5.0 / 9.0).otherwise(v)
+        out = F.when(F.col(f"t{n}").isNotNull() & low & high, done).otherwise(out)
+    return out
+
+
 RULE_SETS = {
     "chart_base": (BASE_CHART_LABELS, CHART_RULES_BASE),
     "chart_v1.1": (CHART_LABELS, CHART_RULES_V11),
@@ -271,7 +308,7 @@ RULE_SETS = {
 def rules_table(spark, name: str | None = None):
     """The versioned rule sets as a DataFrame, one row per (rule set, item,
     position): ``label, lo, lo_incl, hi, hi_incl, transform``.  For review
-    and audit; the operators apply the same rules as CASE expressions."""
+    and audit; the pivots join the same rules (:func:`item_rules`)."""
     rows = []
     for set_name, (labels, rules) in RULE_SETS.items():
         if name and set_name != name:

@@ -6,12 +6,13 @@ from clinframe.operators.asof import (  # noqa: F401
 from clinframe.operators.clean import normalize_fio2, stage_signal, stage_spo2  # noqa: F401
 from clinframe.operators.cohort import (  # noqa: F401
     cohort_base, cohort_with_pf, count_events_in_stay, eligible, select_patients,
-    select_patients_surgical, service_at_entry, service_rank1,
+    left_theta, select_patients_surgical, service_at_entry, service_rank1,
 )
 from clinframe.operators.features import pf_exclusion, pf_ratio, specimen_probability  # noqa: F401
 from clinframe.operators.merge import merge_sources  # noqa: F401
 from clinframe.operators.pivot import (  # noqa: F401
-    chart_pivot, gcs_first_day, lab_first_day, lab_in_stay, lab_pivot, lab_seven_day, window_pivot,
+    chart_pivot, gcs_first_day, lab_first_day, lab_in_stay, lab_pivot, lab_seven_day, stage_bloodgas, stage_chart,
+    stage_events, stage_labs, window_pivot,
 )
 from clinframe.operators.rank import bucketed_rank  # noqa: F401
 from clinframe.operators.report import (  # noqa: F401

@@ -12,9 +12,11 @@ union of anchors and features:
 * Feature rows within ``lookback`` of the next bucket start are copied into
   that bucket as well, so every anchor sees all its candidates inside its own
   partition; the copies are never emitted.
-* ``last(x) IGNORE NULLS`` over ``RANGE BETWEEN lookback PRECEDING AND
-  CURRENT ROW`` ordered by microseconds yields the latest candidate.  Several
-  features with different lookbacks share one sort and one exchange.
+* A running ``last(struct(time, value)) IGNORE NULLS`` (unbounded preceding to
+  the current row and its peers) yields the latest candidate; it counts only
+  if its time is within the lookback.  If the latest is too old, so is every
+  earlier one.  Running frames take linear time however dense a day is, and
+  several features with different lookbacks share one sort and one exchange.
 
 Feature rows must be unique per (keys, time) -- pre-aggregate them (with
 ``max``) as the pivots do; ties are otherwise resolved arbitrarily, as in SQL.
@@ -88,9 +90,15 @@ def asof_attach(anchor: DataFrame, feature: DataFrame, *, by: Sequence[str], val
     f = f.withColumn("_b", _buckets_with_ghost(width, lb))
     timeline = a.unionByName(f, allowMissingColumns=True)
 
-    w = Window.partitionBy(*by, "_b").orderBy("_us").rangeBetween(-lb, 0)
-    got = timeline.withColumn("_got", F.last("_hit", ignorenulls=True).over(w)).filter(F.col("_is_anchor"))
-    return got.select(*anchor.columns, *[F.col(f"_got.{c}").alias(c) for c in payload_cols])
+    latest = F.last(F.when(F.col("_hit").isNotNull(), F.struct("_us", "_hit")), ignorenulls=True).over(_running(by))
+    got = timeline.withColumn("_got", latest).filter(F.col("_is_anchor"))
+    near = F.col("_us") - F.col("_got._us") <= lb
+    return got.select(*anchor.columns, *[F.when(near, F.col(f"_got._hit.{c}")).alias(c) for c in payload_cols])
+
+
+def _running(by: Sequence[str]):
+    """Everything of the (keys, bucket) at or before the row's time."""
+    return Window.partitionBy(*by, "_b").orderBy("_us").rangeBetween(Window.unboundedPreceding, Window.currentRow)
 
 
 def asof_candidates(anchor: DataFrame, feature: DataFrame, *, by: Sequence[str], value_cols: Sequence[str],
@@ -128,7 +136,9 @@ def match_values(values: DataFrame, anchor: str = "pao2", features: Mapping[str,
     every feature within its lookback (hours), on one merged timeline.
 
     One exchange on (stay, day bucket), one sort, one Window operator for all
-    features -- instead of a chain of range joins.
+    features -- instead of a chain of range joins.  ``values`` must be unique
+    per (keys, time), as the merge makes it: each row is an anchor of its own,
+    where :func:`match_values_chain` would keep one of several equal anchors.
     """
     from clinframe.functions.rules import MATCH_FEATURES
     features = dict(features or MATCH_FEATURES)
@@ -136,33 +146,31 @@ def match_values(values: DataFrame, anchor: str = "pao2", features: Mapping[str,
     max_lb = max(lbs.values())
     width = max(interval_micros(bucket), max_lb)
 
-    keep = F.col(anchor).isNotNull()
-    for name in features:
-        keep = keep | F.col(name).isNotNull()
+    keep = F.coalesce(F.col(anchor), *[F.col(n) for n in features]).isNotNull()
     # A row with a NULL key or time can be an anchor but never a feature (its
     # features are masked); it attaches NULLs, as BETWEEN with NULL would.
-    ok = _valid(values, by, time)
+    # The features travel as one struct, which keeps the plan's constraints few.
     v = values.filter(keep).select(*ids, *by, time, F.col(anchor).alias("_anchor"),
-                                   *[F.when(ok, F.col(n)).alias(n) for n in features])
+                                   F.when(_valid(values, by, time), F.struct(*features)).alias("_f"))
     v = v.withColumn("_us", micros_since_epoch(time))
     own = _bucket("_us", width)
     timeline = (v.withColumn("_own", own).withColumn("_b", _buckets_with_ghost(width, max_lb))
-                .withColumn("_ghost", F.coalesce(F.col("_b") != F.col("_own"), F.lit(False))))
-    base = Window.partitionBy(*by, "_b").orderBy("_us")
-    attached = [F.last(name, ignorenulls=True).over(base.rangeBetween(-lbs[name], 0)).alias(name)
-                for name in features]
-    out = (timeline.select(*ids, *by, time, "_anchor", "_ghost", *attached)
-           .filter(~F.col("_ghost") & F.col("_anchor").isNotNull())
-           .select(*ids, *by, time, F.col("_anchor").alias(anchor_alias), *features))
-    return out
+                .withColumn("_emit", F.coalesce(F.col("_b") == F.col("_own"), F.lit(True)) & F.col("_anchor").isNotNull()))
+    w = _running(by)
+    latest = [F.last(F.when(F.col(f"_f.{n}").isNotNull(), F.struct("_us", F.col(f"_f.{n}").alias("v"))), ignorenulls=True)
+              .over(w).alias(f"_l_{n}") for n in features]
+    out = (timeline.select(*ids, *by, time, "_us", "_anchor", "_emit", *latest).filter("_emit"))
+    return out.select(*ids, *by, time, F.col("_anchor").alias(anchor_alias),
+                      *[F.when(F.col("_us") - F.col(f"_l_{n}._us") <= lbs[n], F.col(f"_l_{n}.v")).alias(n) for n in features])
 
 
 def match_values_chain(values: DataFrame, anchor: str = "pao2", features: Mapping[str, int] | None = None,
                        *, by: Sequence[str] = ("icustay_id",), ids: Sequence[str] = ("subject_id", "hadm_id"),
                        time: str = "charttime", anchor_alias: str = "pao2") -> DataFrame:
     """:func:`match_values` in the study's shape: one range join + ``row_number() = 1``
-    per feature, chained.  Same result; kept to measure the two forms against
-    each other (each link adds two exchanges)."""
+    per feature, chained.  Same result where (keys, time) is unique, else one row
+    per (keys, time); kept to measure the two forms against each other (each
+    link adds two exchanges)."""
     from clinframe.functions.rules import MATCH_FEATURES
     features = dict(features or MATCH_FEATURES)
     cur = values.filter(F.col(anchor).isNotNull()).select(*ids, *by, time, F.col(anchor).alias(anchor_alias))
@@ -180,9 +188,9 @@ def carry_forward(df: DataFrame, *, by: Sequence[str], time: str, value, name: s
     same ``by`` keys at or before each row's time (no lookback limit).
 
     Computed per ``(keys, time bucket)`` with a running ``last``, plus a
-    carry-in from earlier buckets taken from a per-bucket summary (one row per
-    key and bucket), so a key holding a large share of the rows is still
-    split by time.  Rows with equal times are ordered by ``tiebreak`` (they
+    carry-in from earlier buckets: a summary of one row per key and bucket,
+    carried over the buckets and joined back on (keys, bucket).  So a key
+    holding a large share of the rows is split by time everywhere.  Rows with equal times are ordered by ``tiebreak`` (they
     must otherwise have distinct times within a key).
     """
     width = interval_micros(bucket)
@@ -192,15 +200,11 @@ def carry_forward(df: DataFrame, *, by: Sequence[str], time: str, value, name: s
     order = ["_us"] + ([tiebreak] if tiebreak else [])
     running = Window.partitionBy(*by, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     x = x.withColumn("_in", F.last("_val", ignorenulls=True).over(running))
-    # Summary: last value of every bucket that has one, valid as carry-in for
-    # the following buckets up to (and including) the next bucket with a value.
-    last_in_bucket = (x.filter(F.col("_val").isNotNull()).groupBy(*by, "_b")
-                      .agg(F.max_by("_val", "_us").alias("_last")))
-    nxt = Window.partitionBy(*by).orderBy("_b")
-    carry = last_in_bucket.select(*[F.col(k).alias(f"_c_{k}") for k in by],
-                                  (F.col("_b") + 1).alias("_from"), F.lead("_b").over(nxt).alias("_to"),
-                                  F.col("_last").alias("_carry"))
-    cond = ([x[k].eqNullSafe(carry[f"_c_{k}"]) for k in by]
-            + [x["_b"] >= carry["_from"], carry["_to"].isNull() | (x["_b"] <= carry["_to"])])
+    # Summary: the last value of every bucket, then the last one of all earlier buckets.
+    summary = x.groupBy(*by, "_b").agg(F.max_by("_val", F.when(F.col("_val").isNotNull(), F.col("_us"))).alias("_last"))
+    earlier = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(*[F.col(k).alias(f"_c_{k}") for k in by], F.col("_b").alias("_c_b"),
+                           F.last("_last", ignorenulls=True).over(earlier).alias("_carry"))
+    cond = [x[k].eqNullSafe(carry[f"_c_{k}"]) for k in by] + [x["_b"].eqNullSafe(carry["_c_b"])]
     out = x.join(carry, cond, "left")
     return out.select(*df.columns, F.coalesce(F.col("_in"), F.col("_carry")).alias(name))

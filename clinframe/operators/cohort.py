@@ -9,6 +9,7 @@ from clinframe.functions import rules as R
 from clinframe.functions.expr import bucket_of, buckets_between, days_between, interval_micros, shift, years_between
 from clinframe.operators.asof import carry_forward
 from clinframe.operators.rank import bucketed_rank
+from clinframe.session import store
 
 STAY_KEYS = ("subject_id", "hadm_id", "icustay_id")
 FLAGS = ("exclusion_age", "exclusion_chest", "exclusion_first_stay", "exclusion_los", "exclusion_vent")
@@ -36,7 +37,7 @@ def cohort_base(icustays: DataFrame, patients: DataFrame, vent: DataFrame | None
         days_between("intime", "outtime").alias("icu_length_of_stay"),
         years_between("dob", "intime").alias("age"),
     )
-    return bucketed_rank(s, ["subject_id"], "intime", name="icustay_id_order", bucket=rank_bucket)
+    return bucketed_rank(store(s, "stays"), ["subject_id"], "intime", name="icustay_id_order", bucket=rank_bucket)
 
 
 def count_events_in_stay(icustays: DataFrame, notes: DataFrame, category: str = "Radiology",
@@ -44,7 +45,8 @@ def count_events_in_stay(icustays: DataFrame, notes: DataFrame, category: str =
     """Notes of the admission strictly inside (intime, outtime) with the given
     category and a description LIKE ``pattern``; stays without any are absent."""
     width = interval_micros(band)
-    n = notes.filter((F.col("category") == category) & F.col("description").like(pattern)) \
+    n = notes.filter((F.col("category") == category) & F.col("description").like(pattern)
+                     & F.col("hadm_id").isNotNull() & F.col("charttime").isNotNull()) \
              .select(F.col("hadm_id").alias("_n_hadm"), F.col("charttime").alias("_n_time"),
                      bucket_of("charttime", width).alias("_n_b"))
     # Band join on (admission, day bucket): a note is only compared with the
@@ -87,6 +89,18 @@ def surgical_flag(service) -> F.Column:
     return _flag(cond)
 
 
+def left_theta(left: DataFrame, right: DataFrame, on, key, name: str) -> DataFrame:
+    """LEFT JOIN on an equality and a range, as an inner join (either side of a hot
+    key may be split) that is computed once, and the left rows whose ``key``
+    (unique in ``left``) it lacks, with NULLs."""
+    pairs = store(left.join(right, on, "inner"), name)
+    found = pairs.select(*[F.col(k).alias(f"_f_{k}") for k in key]).distinct()
+    match = [left[k].eqNullSafe(found[f"_f_{k}"]) for k in key]
+    alone = left.join(found, match, "left_anti").select(
+        *left.columns, *[F.lit(None).cast(t).alias(c) for c, t in right.dtypes])
+    return pairs.unionByName(alone)
+
+
 def service_at_entry(icustays: DataFrame, services: DataFrame, grace: str = "12 hours",
                      partition: str = "hadm_id") -> DataFrame:
     """Services of the admission transferred to before intime + ``grace``,
@@ -97,9 +111,10 @@ def service_at_entry(icustays: DataFrame, services: DataFrame, grace: str = "12
     """
     sv = services.select(F.col("hadm_id").alias("_sv_hadm"), "transfertime", "curr_service")
     s = icustays.select(*STAY_KEYS, "intime", shift("intime", grace).alias("_limit"))
-    j = s.join(sv, (s.hadm_id == sv._sv_hadm) & (sv.transfertime < s._limit), "left")
+    j = left_theta(s, sv, (s.hadm_id == sv._sv_hadm) & (sv.transfertime < s._limit), STAY_KEYS, "services")
     rows = j.select("hadm_id", "icustay_id", "transfertime", "curr_service",
                     surgical_flag("curr_service").alias("surgical"))
+    rows = store(rows, "service-pairs")
     ranked = bucketed_rank(rows, [partition], "transfertime", name="rank", descending=True, nulls_first=True)
     return ranked.select("hadm_id", "icustay_id", "curr_service", "surgical", "rank")
 

@@ -17,24 +17,6 @@ ORDER = ["spo2", "pao2", "pao2_c", "pao2_l", "fio2", "fio2_c", "fio2_l", "hr", "
          "nbpm", "abps", "abpd", "abpm", "rr", "tv", "pip", "plap", "mv", "map", "peep", "peep_c", "peep_l"]
 
 
-def merge_unmatched(chart: DataFrame, lab: DataFrame,
-                    ids: Sequence[str] = ("subject_id", "hadm_id", "icustay_id", "charttime")) -> DataFrame:
-    """:func:`merge_sources` for rows that cannot match (e.g. NULL times):
-    each side's rows with the other side's columns NULL, as a union -- no join."""
-    def side(df, own):
-        cols = {}
-        for n in CHART_ONLY:
-            if n in chart.columns:
-                cols[n] = F.col(n) if own == "c" else F.lit(None).cast("double")
-        for name, c_src, l_src in SHARED:
-            mine = F.col(c_src if own == "c" else l_src)
-            cols[f"{name}_c"] = mine if own == "c" else F.lit(None).cast("double")
-            cols[f"{name}_l"] = mine if own == "l" else F.lit(None).cast("double")
-            cols[name] = mine
-        return df.select(*[F.col(k) for k in ids], *[cols[n].alias(n) for n in ORDER if n in cols])
-    return side(chart, "c").unionByName(side(lab, "l"))
-
-
 def merge_sources(chart: DataFrame, lab: DataFrame, keys: Sequence[str] = ("icustay_id", "charttime"),
                   ids: Sequence[str] = ("subject_id", "hadm_id", "icustay_id", "charttime"),
                   prefer: str = "lab") -> DataFrame:

@@ -34,7 +34,9 @@ def bucketed_rank(df: DataFrame, partition_cols: Sequence[str], order_col: str,
     """``df`` plus ``name`` = rank/row_number over (partition_cols, order_col).
 
     Default NULL placement follows PostgreSQL: last when ascending, first
-    when descending.
+    when descending.  ``df`` is read for the rows and for the counts: pass a
+    stored one (:func:`clinframe.session.store`) where it is itself a join or
+    an aggregate.
     """
     if nulls_first is None:
         nulls_first = descending
@@ -69,7 +71,7 @@ def _rank_by_counts(df: DataFrame, x: DataFrame, partition_cols, order_col: str,
     over the earlier values of the bucket and over the earlier buckets of the
     key, then joined back -- no window ever runs over the raw rows."""
     keys = [*partition_cols, "_rb"]
-    cnt = x.groupBy(*keys, order_col).agg(F.count(F.lit(1)).alias("_n"))
+    cnt = x.select(*keys, order_col).groupBy(*keys, order_col).agg(F.count(F.lit(1)).alias("_n"))
     earlier_value = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     cnt = cnt.withColumn("_before_v", F.coalesce(F.sum("_n").over(earlier_value), F.lit(0)))
     totals = cnt.groupBy(*keys).agg(F.sum("_n").alias("_bn"))

@@ -20,9 +20,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from clinframe.operators import asof, clean, cohort, features, merge, pivot
-from clinframe.session import ensure_checkpoint_dir
+from clinframe.session import checkpoint_dir, store
 
-ORDER = ("select_patient", "po2sevenday", "fio2_chart", "pf", "eligible", "patientschart",
+ORDER = ("select_patient", "po2sevenday", "fio2_chart", "pf", "cohort_with_pf", "eligible", "patientschart",
          "patientslab", "patientsvalue", "matchvalue", "matchvalue_lab")
 
 
@@ -34,6 +34,10 @@ class StudyParams:
     note_category: str = "Radiology"
     note_pattern: str = "%CHEST%"
     pf_threshold: float = 300.0
+    # Options for behaviours of the study that look unintended (off by default).
+    treat_missing_as_zero: bool = False
+    fio2_range: tuple[float, float] | None = None
+    keep_negative_base_excess: bool = False
 
 
 class Study:
@@ -58,7 +62,7 @@ class Study:
             if name in self._checkpoint:
                 # Reliable checkpoint into the session's spark.checkpoint.dir
                 # (a shared folder on a cluster): cuts the lineage of deep views.
-                ensure_checkpoint_dir(df.sparkSession)
+                df.sparkSession.sparkContext.setCheckpointDir(checkpoint_dir(df.sparkSession))
                 df = df.checkpoint(eager=True)
             self._cache[name] = df
         return self._cache[name]
@@ -76,11 +80,15 @@ class Study:
 
     def _build_select_patient(self):
         return cohort.select_patients(self["cohort_base"], self["chest"], self.t["heightweight"],
-                                      self.t["icustay_detail"], self.p.min_los_days, self.p.min_age_years)
+                                      self.t["icustay_detail"], self.p.min_los_days, self.p.min_age_years,
+                                      self.p.treat_missing_as_zero)
 
     # -- P/F -------------------------------------------------------------
     def _build_po2sevenday(self):
-        return pivot.lab_seven_day(self.t["icustays"], self.t["labevents"])
+        return pivot.lab_seven_day(self.t["icustays"], self.t["labevents"], **self._lab_options())
+
+    def _lab_options(self):
+        return {"fio2_range": self.p.fio2_range, "keep_negative_base_excess": self.p.keep_negative_base_excess}
 
     def _build_fio2_chart(self):
         return clean.normalize_fio2(self.t["chartevents"])
@@ -89,14 +97,7 @@ class Study:
         return features.pf_ratio(self["po2sevenday"], self["fio2_chart"])
 
     def _build_pf(self):
-        if "pf_rows" in self._cache:
-            return features.pf_exclusion(self["pf_rows"], self.p.pf_threshold)
-        # Stays without seven-day labs only contribute a NULL-time row whose
-        # P/F is NULL; taking them from the stay table instead skips the pivot's
-        # event-less-stay branch (a second scan of the lab log).
-        icu = self.t["icustays"]
-        rows = features.pf_ratio(pivot.lab_seven_day(icu, self.t["labevents"], part="events"), self["fio2_chart"])
-        return features.pf_exclusion(rows, self.p.pf_threshold, stays=icu)
+        return features.pf_exclusion(self["pf_rows"], self.p.pf_threshold)
 
     def _build_cohort_with_pf(self):
         return cohort.cohort_with_pf(self["select_patient"], self["pf"])
@@ -112,43 +113,21 @@ class Study:
         return pivot.chart_pivot(self._stays_for_pivots(), self.t["chartevents"], self.p.chart_version)
 
     def _build_patientslab(self):
-        return pivot.lab_in_stay(self._stays_for_pivots(), self.t["labevents"])
+        return pivot.lab_in_stay(self._stays_for_pivots(), self.t["labevents"], **self._lab_options())
 
     def _build_patientsvalue(self):
-        # Same rows as merge_sources(patientschart, patientslab).  The groups
-        # with events leave their pivots hash-partitioned on (stay, time), so
-        # their FULL JOIN needs no exchange; the NULL-time rows of event-less
-        # stays never match, so they are appended without a join.
-        if "patientschart" in self._cache or "patientslab" in self._cache:
-            return merge.merge_sources(self["patientschart"], self["patientslab"])
-        stays, v = self._stays_for_pivots(), self.p.chart_version
-        ce, le = self.t["chartevents"], self.t["labevents"]
-        if "_timed" in self._cache:
-            timed = self._cache["_timed"]
-        else:
-            timed = merge.merge_sources(pivot.chart_pivot(stays, ce, v, part="events"),
-                                        pivot.lab_in_stay(stays, le, part="events"))
-        empty = merge.merge_unmatched(pivot.chart_pivot(stays, ce, v, part="empty"),
-                                      pivot.lab_in_stay(stays, le, part="empty"))
-        return timed.unionByName(empty)
-
-    def timed_values(self) -> DataFrame:
-        """patientsvalue without the NULL-time rows of event-less stays (they
-        are never anchors nor features), unless patientsvalue is already built."""
-        if "patientsvalue" in self._cache or "patientschart" in self._cache or "patientslab" in self._cache:
-            return self["patientsvalue"]
-        if "_timed" not in self._cache:
-            stays, ce, le = self._stays_for_pivots(), self.t["chartevents"], self.t["labevents"]
-            self._cache["_timed"] = merge.merge_sources(
-                pivot.chart_pivot(stays, ce, self.p.chart_version, part="events"),
-                pivot.lab_in_stay(stays, le, part="events"))
-        return self._cache["_timed"]
+        return merge.merge_sources(self["patientschart"], self["patientslab"])
+
+    def _build_stored_values(self):
+        # The study materialises this view; both match tables read it, and the
+        # optimizer need not carry the merge's constraints through 17 windows.
+        return store(self["patientsvalue"], "patientsvalue")
 
     def _build_matchvalue(self):
-        return asof.match_values(self.timed_values(), anchor="pao2")
+        return asof.match_values(self["stored_values"], anchor="pao2")
 
     def _build_matchvalue_lab(self):
-        return asof.match_values(self.timed_values(), anchor="pao2_l")
+        return asof.match_values(self["stored_values"], anchor="pao2_l")
 
 
 def rebuild(spark: SparkSession, study: Study, sink: str, views=ORDER, mode: str = "overwrite",

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -20,11 +19,7 @@ DEFAULTS = {
 }
 
 # Runtime SQL settings the operators rely on; safe to apply to any session.
-# Constraint propagation is off because the rule CASE expressions and long
-# item lists make Catalyst's constraint inference take minutes of driver time
-# (79 s -> 1.5 s planning for the match table) without improving the plan.
 SQL_CONF = {
-    "spark.sql.constraintPropagation.enabled": "false",
     # Zone-less Parquet timestamps stay TIMESTAMP_NTZ, so no result depends on
     # the session time zone.
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
@@ -48,24 +43,29 @@ def get_spark(master: str | None = None, app: str = "clinframe",
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return ``spark.checkpoint.dir``; set a scratch one only when unset.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder that ``spark.checkpoint.dir`` names (HDFS, S3, ...).
 
-    On a cluster the deployment names a shared folder here; a machine-local
-    folder is only used for local test sessions, which have no other executors.
+    There is no default: executors could not read a folder of the driver.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir is unset: name a shared folder (HDFS/S3/...) for this cluster")
-        current = tempfile.mkdtemp(prefix="clinframe-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        raise ValueError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
+    return path.rstrip("/")
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the checkpoint folder and read back.
+
+    For results that are used more than once (a rank needs its rows and their
+    counts): they are computed once, and a lost executor does not repeat them.
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/clinframe-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def apply_sql_conf(spark: SparkSession) -> SparkSession:
@@ -75,8 +75,7 @@ def apply_sql_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cluster_settings(input_bytes: int, target_partition_bytes: int = 256 * 1024 ** 2,
-                     max_partitions: int = 200_000) -> dict[str, str]:
+def cluster_settings(input_bytes: int, target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
     """Shuffle/scan sizing for a cluster run over ``input_bytes`` of Parquet.
 
     Starts shuffles with enough partitions for ~``target_partition_bytes``
@@ -84,7 +83,7 @@ def cluster_settings(input_bytes: int, target_partition_bytes: int = 256 * 1024
     files in splits of the same size, so a task's working set stays well
     inside executor memory.  Pass the result as ``get_spark(**settings)``.
     """
-    n = max(200, min(max_partitions, input_bytes // target_partition_bytes + 1))
+    n = max(200, input_bytes // target_partition_bytes + 1)
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),

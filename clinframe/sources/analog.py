@@ -89,13 +89,14 @@ def clinical_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                              value=F.when(F.col("event_type") == "signup", F.col("event_id"))) \
         .filter(F.col("event_type") != "signup")
 
-    measured = assigned.filter(F.col("event_type").isin("click", "view", "error"))
+    # Labs, notes and services carry no stay id: they come straight from the events.
+    measured_types = F.col("event_type").isin("click", "view", "error")
     valuenum = F.when(F.col("event_type") == "error", F.col("value") / F.lit(100.0)).otherwise(F.col("value"))
 
-    def panel(offsets):
-        return measured.select("*", F.posexplode(F.array(*[F.lit(o) for o in offsets])).alias("_j", "_off"))
+    def panel(rows, offsets):
+        return rows.filter(measured_types).select("*", F.posexplode(F.array(*[F.lit(o) for o in offsets])).alias("_j", "_off"))
 
-    chart = panel(CHART_PANEL_OFFSETS)
+    chart = panel(assigned, CHART_PANEL_OFFSETS)
     chartevents = chart.select(
         F.col("user_id").alias("subject_id"), "hadm_id", "icustay_id",
         _pick(CHART_ITEMS, (F.col("event_id") + F.col("_off")) % len(CHART_ITEMS)).cast("int").alias("itemid"),
@@ -109,7 +110,7 @@ def clinical_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
          .otherwise(F.lit(0)).cast("int").alias("error"),
     )
 
-    labevents = panel(LAB_PANEL_OFFSETS).select(
+    labevents = panel(ev, LAB_PANEL_OFFSETS).select(
         F.col("user_id").alias("subject_id"), "hadm_id",
         _pick(LAB_ITEMS, (F.col("event_id") + F.col("_off")) % len(LAB_ITEMS)).cast("int").alias("itemid"),
         F.col("ts").alias("charttime"),
@@ -117,14 +118,14 @@ def clinical_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         (valuenum / (F.col("_j") + F.lit(1.0))).alias("valuenum"),
     )
 
-    noteevents = assigned.filter(F.col("event_type") == "view").select(
+    noteevents = ev.filter(F.col("event_type") == "view").select(
         F.col("user_id").alias("subject_id"), "hadm_id", F.col("ts").alias("charttime"),
         F.when(F.col("value") < F.lit(RADIOLOGY_BELOW), F.lit("Radiology")).otherwise(F.lit("Nursing"))
          .alias("category"),
         F.col("props").alias("description"),
     )
 
-    services = assigned.filter(F.col("event_type") == "purchase").select(
+    services = ev.filter(F.col("event_type") == "purchase").select(
         F.col("user_id").alias("subject_id"), "hadm_id", F.col("ts").alias("transfertime"),
         F.lit(None).cast("string").alias("prev_service"),
         _pick(SERVICES, F.col("event_id") % len(SERVICES)).alias("curr_service"),

@@ -33,22 +33,22 @@ def read_catalog_tables(spark: SparkSession, database: str | None = None,
 
 
 def read_jdbc_table(spark: SparkSession, url: str, table: str, properties: dict[str, str],
-                    partition_column: str | None = None, lower: int | None = None,
-                    upper: int | None = None, num_partitions: int = 64) -> DataFrame:
+                    partition_column: str, lower: int, upper: int, num_partitions: int = 64) -> DataFrame:
     """A relational-database table as a DataFrame.
 
     Connection options (user, password, driver) come from the caller; nothing
-    is stored here.  With ``partition_column`` the read is split into
-    ``num_partitions`` parallel range queries instead of one.
+    is stored here.  The read is split into ``num_partitions`` range queries of
+    ``partition_column`` between the two bounds (rows outside them go to the
+    first and last one); without them one task would read the whole table.
     """
+    if not partition_column or lower is None or upper is None:
+        raise ValueError("a partition column and both of its bounds are needed to read a table in parallel")
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
     for key, value in properties.items():
         reader = reader.option(key, value)
-    if partition_column is not None:
-        reader = (reader.option("partitionColumn", partition_column)
-                  .option("lowerBound", str(lower)).option("upperBound", str(upper))
-                  .option("numPartitions", str(num_partitions)))
-    return reader.load()
+    return (reader.option("partitionColumn", partition_column)
+            .option("lowerBound", str(lower)).option("upperBound", str(upper))
+            .option("numPartitions", str(num_partitions)).load())
 
 
 def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:

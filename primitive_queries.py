@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from clinframe.operators.cohort import left_theta
 from clinframe import operators as op
 from clinframe.functions import rules as R
 from clinframe.functions.expr import days_between, is_distinct_from, seconds_between, shift
@@ -19,22 +20,23 @@ def is_distinct_from_q(t):
             .groupBy("itemid").agg(F.count(F.lit(1)).alias("n")))
 
 
-def _labs_in_stay(t, strict):
-    icu, lab = t["icustays"], t["labevents"].select("subject_id", "hadm_id", "charttime")
-    cond = (icu.subject_id == lab.subject_id) & (icu.hadm_id == lab.hadm_id)
-    cond = cond & ((lab.charttime > icu.intime) & (lab.charttime < icu.outtime) if strict
-                   else lab.charttime.between(icu.intime, icu.outtime))
-    return icu.join(lab, cond, "inner").groupBy(icu.icustay_id).agg(F.count(F.lit(1)).alias("n"))
+def _labs_in_span(t, strict):
+    """Labs between the first and the last lab of their admission, so that rows lie on both bounds."""
+    lab = t["labevents"].filter(F.col("hadm_id").isNotNull()).select("hadm_id", "charttime")
+    span = lab.groupBy("hadm_id").agg(F.min("charttime").alias("lo"), F.max("charttime").alias("hi"))
+    inside = ((F.col("charttime") > F.col("lo")) & (F.col("charttime") < F.col("hi")) if strict
+              else F.col("charttime").between(F.col("lo"), F.col("hi")))
+    return lab.join(span, "hadm_id").filter(inside).groupBy("hadm_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 def between_closed_q(t):
-    """Closed ``BETWEEN`` on timestamps (labs per stay)."""
-    return _labs_in_stay(t, strict=False)
+    """Closed ``BETWEEN`` on timestamps (labs per admission)."""
+    return _labs_in_span(t, strict=False)
 
 
 def range_open_q(t):
-    """P5: strict open range (labs per stay)."""
-    return _labs_in_stay(t, strict=True)
+    """P5: strict open range (labs per admission)."""
+    return _labs_in_span(t, strict=True)
 
 
 def like_contains_q(t):
@@ -80,7 +82,8 @@ def full_join_q(t):
 def theta_left_join_q(t):
     """LEFT JOIN with one equi key and a one-sided interval bound."""
     icu, sv = t["icustays"], t["services"].select(F.col("hadm_id").alias("_h"), "transfertime", "curr_service")
-    j = icu.join(sv, (icu.hadm_id == sv._h) & (sv.transfertime < shift("intime", "12 hours")), "left")
+    icu = icu.select("hadm_id", "icustay_id", "intime")
+    j = left_theta(icu, sv, (icu.hadm_id == sv._h) & (sv.transfertime < shift("intime", "12 hours")), ["icustay_id"], "theta")
     return j.select("icustay_id", "transfertime", "curr_service")
 
 
@@ -127,10 +130,9 @@ def coalesce_precedence_q(t):
 
 
 def max_text_q(t):
-    """A3: ``max`` over text (binary order), as ``array_max(collect_set(...))`` so
-    the aggregate stays hash-based (the set holds the few distinct texts)."""
+    """A3: ``max`` over text (binary order)."""
     return (t["labevents"].filter(F.col("itemid") == 50800).groupBy("subject_id", "hadm_id")
-            .agg(F.array_max(F.collect_set("value")).alias("specimen")))
+            .agg(F.max("value").alias("specimen")))
 
 
 def order_by_keys_q(t):

@@ -17,6 +17,7 @@ def spark():
     warehouse = tempfile.mkdtemp(prefix="clinframe-warehouse-")   # local test session only
     s = get_spark("local[4]", app="clinframe-tests", shuffle_partitions=4,
                   **{"spark.driver.memory": "4g", "spark.sql.shuffle.partitions": "4",
-                     "spark.sql.warehouse.dir": warehouse})
+                     "spark.sql.warehouse.dir": warehouse,
+                     "spark.checkpoint.dir": tempfile.mkdtemp(prefix="clinframe-checkpoints-")})
     yield s
     s.stop()

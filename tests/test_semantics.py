@@ -235,21 +235,6 @@ def test_lab_options_fio2_range_and_negative_base_excess(spark):
     assert bg[ts(4)] == -3.0
 
 
-def test_clean_stream_on_a_streaming_source(spark, tmp_path):
-    from clinframe.sources.schema import SCHEMAS
-    from clinframe.streaming import clean_stream
-    src = str(tmp_path / "chart_in")
-    frame(spark, "chartevents", [chart_row(100, 220045, 80.0), chart_row(100, 220045, 400.0, hours=2),
-                                 chart_row(100, 198, 15.0, hours=3)]).write.parquet(src)
-    stream = spark.readStream.schema(SCHEMAS["chartevents"]).parquet(src)
-    q = (clean_stream(stream).writeStream.format("memory").queryName("clean_out")
-         .option("checkpointLocation", str(tmp_path / "ckpt")).start())
-    q.processAllAvailable()
-    q.stop()
-    got = sorted(((r.label, r.valuenum) for r in spark.sql("SELECT * FROM clean_out").collect()),
-                 key=lambda p: (p[0], p[1] is not None, p[1] or 0))
-    assert got == [("hr", None), ("hr", 80.0)]   # 400 fails the HR bound; item 198 is not fetched
-
 
 def test_service_rank1_equals_rank_filter(spark):
     import random
@@ -364,3 +349,18 @@ def test_chart_pivot_random_with_nulls_against_brute_force(spark):
     assert got.keys() == want.keys()
     assert {k: rounded(v) for k, v in got.items()} == {k: rounded(v) for k, v in want.items()}
     assert sum(1 for v in want.values() if any(x is not None for x in v)) > 20      # the check has teeth
+
+
+def test_stay_listed_under_two_admissions_keeps_both_rows(spark):
+    stays = frame(spark, "icustays", [(1, 10, 7, T0, ts(24)), (1, 11, 7, T0, ts(24))])
+    labs = frame(spark, "labevents", [(1, 10, 50821, ts(1), None, 70.0), (1, 11, 50821, ts(1), None, 80.0)])
+    got = {(r.hadm_id, r.po2) for r in op.lab_in_stay(stays, labs).collect()}
+    assert got == {(10, 70.0), (11, 80.0)}
+
+
+def test_staged_rows_keep_unlabelled_items_and_drop_unknown_times(spark):
+    stays = frame(spark, "icustays", [STAY])
+    labs = frame(spark, "labevents", [(1, 10, 50821, ts(1), "ART", 900.0), (1, 10, 51545, ts(1), "x", 3.0),
+                                      (1, 10, 50821, None, "ART", 80.0), (1, 10, 50821, ts(30), "ART", 80.0)])
+    got = {(r.itemid, r.label, r.value, r.text) for r in op.stage_bloodgas(stays, labs).collect()}
+    assert got == {(50821, "po2", None, "ART"), (51545, None, 3.0, "x")}

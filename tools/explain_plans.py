@@ -17,7 +17,7 @@ import uuid
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from clinframe import get_spark, operators as op  # noqa: E402
-from clinframe.session import ensure_checkpoint_dir  # noqa: E402
+from clinframe.session import checkpoint_dir  # noqa: E402
 from clinframe.plans import Study  # noqa: E402
 from clinframe.sources import clinical_tables, read_parquet_tables  # noqa: E402
 
@@ -36,7 +36,7 @@ def tree(df) -> str:
 def main(sf_dir: str) -> None:
     spark = get_spark("local[8]", shuffle_partitions=16, **{"spark.driver.memory": "8g"})
     # Scratch tables go under the session's (shared) checkpoint folder.
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/plans-{uuid.uuid4().hex}"
+    root = f"{checkpoint_dir(spark)}/plans-{uuid.uuid4().hex}"
     for name, df in clinical_tables(spark, sf_dir).items():
         df.write.parquet(f"{root}/{name}")
     t = read_parquet_tables(spark, root)

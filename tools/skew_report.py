@@ -33,7 +33,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from clinframe import get_spark, operators as op  # noqa: E402
 from clinframe.functions.rules import MATCH_FEATURES  # noqa: E402
 from clinframe.plans import Study  # noqa: E402
-from clinframe.session import ensure_checkpoint_dir  # noqa: E402
+from clinframe.session import checkpoint_dir  # noqa: E402
 from clinframe.sources import clinical_tables  # noqa: E402
 
 HOT = -1
@@ -71,7 +71,7 @@ def main(sf_dir: str) -> None:
     results = {}
     spark = get_spark("local[8]", shuffle_partitions=64)
     # Scratch under the session's checkpoint folder (a shared path on a cluster).
-    scratch = f"{ensure_checkpoint_dir(spark).rstrip('/')}/skew-{uuid.uuid4().hex}"
+    scratch = f"{checkpoint_dir(spark)}/skew-{uuid.uuid4().hex}"
     values_path = f"{scratch}/patientsvalue"
     t = clinical_tables(spark, sf_dir)
     pv = Study(t, stays=t["icustays"])["patientsvalue"]
