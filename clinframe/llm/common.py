@@ -222,7 +222,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         both = e.select("u", "v").unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         big = both.join(low, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        big = cut(big.filter("u <> v").distinct(), "star")
+        big = cut(big.filter("u <> v"), "star")
         # small star: every edge points from the larger to the smaller node
         low2 = big.groupBy("u").agg(F.min("v").alias("m"))
         small = (big.join(low2, "u")
@@ -232,9 +232,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = cut(small, "star")
         drop_cut(big)
         # done when every node has one edge and no target has an edge of its own
-        multi = small.groupBy("u").count().filter("count > 1").limit(1)
-        chain = small.join(small.select(F.col("u").alias("v")).distinct(), "v", "left_semi").limit(1)
-        done = not (multi.count() or chain.count())
+        multi = small.groupBy("u").count().filter("count > 1").select("u")
+        chain = small.join(small.select(F.col("u").alias("v")).distinct(), "v", "left_semi").select("u")
+        done = not multi.unionAll(chain).take(1)
         drop_cut(e)
         e = small
         if done:

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from .common import components, cut, hasher, mix, shingles, small_batches, text_key
 
-HUBS = 8
+HUBS = 16
 SKETCH = pa.schema([("doc_id", pa.int64()), ("tkey", pa.int64()), ("n_shingles", pa.int64()),
-                    ("node", pa.binary()), ("bands", pa.list_(pa.int64()))])
+                    ("node", pa.binary()), ("parts", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
 
 def superminhash(sets: list[np.ndarray], m: int) -> np.ndarray:
@@ -71,13 +71,36 @@ def _sketch(k: int, bands: int, rows: int):
             keys = band_keys(superminhash(sets, bands * rows), bands, rows)
             nodes = [None if s.size == 0 else
                      np.array([np.add.reduce(mix(s, 5)), np.add.reduce(mix(s, 6))], np.uint64).tobytes() for s in sets]
+            parts = [np.minimum(np.bincount((mix(s, 9) >> np.uint64(56)).astype(np.int64), minlength=256), 255).astype(np.uint8).tobytes() for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [ids, tkeys, pa.array([s.size for s in sets], pa.int64()), pa.array(nodes, pa.binary()),
+                [ids, tkeys, pa.array([s.size for s in sets], pa.int64()), pa.array(nodes, pa.binary()), pa.array(parts, pa.binary()),
                  pa.array([None if n is None else r for n, r in zip(nodes, keys)], SKETCH.field("bands").type)],
                 schema=SKETCH)
     return run
 
 
+def _possible(similarity_pct: int):
+    """(node, comp, size, parts, hubs) -> (a, b) of the pairs that may be similar.
+
+    ``parts`` counts a set's elements by 256 hash parts, so the sum of the
+    differences is a lower bound of the symmetric difference of two sets, and
+    100*i >= pct*u is the same as (100+pct) * difference <= (100-pct) * sizes.
+    No pair that passes the full test is lost.
+    """
+    def run(it):
+        for batch in it:
+            found = set()  # a node's buckets come together and share hubs
+            for node, comp, size, parts, hubs in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                mine = np.frombuffer(parts, np.uint8).astype(np.int16)
+                for h in hubs:
+                    if h["comp"] != comp:
+                        apart = int(np.abs(mine - np.frombuffer(h["parts"], np.uint8)).sum())
+                        if (100 + similarity_pct) * apart <= (100 - similarity_pct) * (size + h["size"]):
+                            found.add((min(node, h["node"]), max(node, h["node"])))
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.binary()) for i in (0, 1)], names=["a", "b"])
+    return run
+
+
 def _verify(k: int, similarity_pct: int):
     """Pairs with both texts -> (a, b) of the pairs whose full shingle sets are similar enough."""
     def run(it):
@@ -111,12 +134,15 @@ def near_duplicates(docs: DataFrame, k: int = 4, bands: int = 32, rows: int = 6,
        At similarity 0.8 a pair shares a band with probability 1 - 6e-5.
     2. Nodes that share a band key form a bucket.  Buckets are compared in
        rounds against hubs, never all pairs: round one tests each node against
-       its smallest hub; each later round takes every bucket that still spans
-       several components, tests its nodes against HUBS random nodes of other
-       components and retires those hubs.  A bucket of at most HUBS nodes is so
-       settled exactly.  The rounds end after ``quiet_rounds`` rounds without a
-       new link; None goes on until no bucket is open, so that each pair of
-       each bucket is either tested or already connected.
+       its smallest hub.  Each later round takes the buckets that still span
+       several components and tests every node outside a bucket's largest
+       component against HUBS random nodes of the bucket, unless counts by
+       hash part already show that they are too different; hubs of the largest
+       component have then met all others and retire.  A bucket of at most
+       HUBS nodes is so settled exactly.  The rounds end after
+       ``quiet_rounds`` rounds without a new link; None goes on until no
+       bucket is open, so that each pair of each bucket is either tested or
+       already connected.
     3. A link counts when the full shingle sets agree (100*i >= pct*union).
     4. Union-find over the links (:func:`common.components`).
 
@@ -130,11 +156,11 @@ def near_duplicates(docs: DataFrame, k: int = 4, bands: int = 32, rows: int = 6,
     small_batches(spark)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text_col).alias("tkey"),
                       F.col(text_col).alias("text"))
-    sketch = cut(src.mapInArrow(_sketch(k, bands, rows), "doc_id long, tkey long, n_shingles long, node binary, bands array<long>"),
+    sketch = cut(src.mapInArrow(_sketch(k, bands, rows), "doc_id long, tkey long, n_shingles long, node binary, parts binary, bands array<long>"),
                  "sketch")
     nodes = cut(sketch.filter("node is not null").groupBy("node")
                 .agg(F.min("doc_id").alias("min_doc"), F.min(F.struct("doc_id", "tkey")).alias("rep"),
-                     F.first("bands").alias("bands")), "nodes")
+                     F.first("n_shingles").alias("size"), F.first("parts").alias("parts"), F.first("bands").alias("bands")), "nodes")
 
     keyed = nodes.select(F.explode("bands").alias("bkey"), "node")
     shared = (keyed.groupBy("bkey").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
@@ -164,20 +190,27 @@ def near_duplicates(docs: DataFrame, k: int = 4, bands: int = 32, rows: int = 6,
     left, salt, quiet = buckets.select("bkey", "node"), 0, 0
     while quiet_rounds is None or quiet < quiet_rounds:
         state = left.join(comps, "node").select("bkey", "node", "comp")
+        main = state.groupBy("bkey", "comp").agg(F.count("*").alias("n")).groupBy("bkey").agg(
+            F.max(F.struct("n", "comp"))["comp"].alias("main"), F.count("*").alias("comps")).filter("comps > 1")
         picks = [F.max(F.struct(F.xxhash64("node", F.lit(salt + i)).alias("r"), "node", "comp")).alias(f"h{i}") for i in range(HUBS)]
         hubs = F.array_distinct(F.array(*[F.struct(F.col(f"h{i}.node"), F.col(f"h{i}.comp")) for i in range(HUBS)]))
-        open_ = (state.groupBy("bkey").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), *picks)
-                 .filter("c0 <> c1").select("bkey", hubs.alias("hubs")))
-        state = cut(state.join(cut(open_, "open"), "bkey"), "state")
-        pairs = (state.select("node", F.explode(F.filter("hubs", lambda h: h["comp"] != F.col("comp"))).alias("h"))
-                 .select(F.least("node", "h.node").alias("a"), F.greatest("node", "h.node").alias("b")).distinct())
-        found = confirmed(pairs, "links")
-        quiet = 0 if found.take(1) else quiet + 1
-        if not state.take(1):
+        open_ = state.groupBy("bkey").agg(*picks).join(main, "bkey").select("bkey", "main", F.explode(hubs).alias("h"))
+        open_ = (open_.select("bkey", "main", "h.node", "h.comp").join(nodes.select("node", "size", "parts"), "node")
+                 .groupBy("bkey", "main").agg(F.collect_list(F.struct("node", "comp", "size", "parts")).alias("hubs")))  # HUBS at most
+        open_ = cut(open_, "open")
+        if not open_.take(1):
             break
-        if not quiet:
+        outside = state.join(open_, "bkey").filter("comp <> main").select("node", "comp", "hubs")
+        pairs = (outside.join(nodes.select("node", "size", "parts").hint("merge"), "node").select("node", "comp", "size", "parts", "hubs")
+                 .mapInArrow(_possible(similarity_pct), "a binary, b binary").distinct())
+        found = confirmed(pairs, "links")
+        new = bool(found.take(1))
+        quiet = 0 if new else quiet + 1
+        if new:
             comps = united(comps, found)
-        left = state.filter(~F.exists("hubs", lambda h: h["node"] == F.col("node"))).select("bkey", "node")
+        # hubs of the main component have met every node outside it
+        met = open_.select("bkey", "main", F.explode("hubs").alias("h")).filter("h.comp = main").select("bkey", "h.node")
+        left = cut(state.join(open_.select("bkey"), "bkey", "left_semi").join(met, ["bkey", "node"], "left_anti").select("bkey", "node"), "left")
         salt += HUBS
 
     labels = (nodes.join(comps, "node", "left").select("node", "min_doc", F.coalesce("comp", "node").alias("comp")))
