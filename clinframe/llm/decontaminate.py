@@ -73,8 +73,9 @@ def tiles(item: np.ndarray, text: np.ndarray, shortest: int) -> list[tuple[int,
             if free_i[i:i + k].all() and free_t[j:j + k].all():
                 free_i[i:i + k] = free_t[j:j + k] = False
                 out.append((i, j, k))
-            else:
-                again = True  # a part of it may still be free
+            else:  # a part of it may still be free and longer than what follows: look again
+                again = True
+                break
         if again:
             continue
         if s == shortest:
