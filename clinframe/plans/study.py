@@ -137,9 +137,12 @@ def rebuild(spark: SparkSession, study: Study, sink: str, views=ORDER, mode: str
     Each written view replaces its lazy plan in ``study``, so downstream
     views read the stored files.  ``sink`` must be a shared filesystem path
     on a cluster.  With ``database`` each view is also registered as an
-    external catalog table ``database.view`` at that path.  Returns
-    ``{view: path}``.
+    external catalog table ``database.view`` at that path.  Where
+    ``spark.checkpoint.dir`` is unset, intermediate results go below the sink.
+    Returns ``{view: path}``.
     """
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", f"{sink.rstrip('/')}/_intermediate")
     paths = {}
     for name in views:
         path = f"{sink.rstrip('/')}/{name}"
