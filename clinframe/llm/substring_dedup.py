@@ -15,7 +15,7 @@ from .suffix_array import repeated_starts, suffix_array
 
 SEED = 64
 #: Aimed bytes of a shard, and the most that one anchor's distinct strings may have in it.
-SHARD_BYTES, GROUP_BYTES = 2_000_000, 16_000_000
+SHARD_BYTES, GROUP_BYTES = 2_000_000, 4_000_000
 
 RUN = pa.struct([("anchor", pa.int64()), ("start", pa.int64()), ("starts", pa.int64()), ("twice", pa.bool_())])
 ANCHORS = pa.schema([("doc_id", pa.int64()), ("tkey", pa.int64()), ("n_bytes", pa.int64()), ("sha256", pa.string()), ("runs", pa.list_(RUN))])
