@@ -206,18 +206,24 @@ def grams(words: np.ndarray, k: int) -> np.ndarray:
 
 # --------------------------------------------------------------------- components
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", edges_per_task: int = 200_000) -> DataFrame:
     """Connected components of ``edges``: (node, comp), comp the smallest node.
 
-    Union-find on Spark.  Every partition first unites its own edges
-    (path-halving union-find over the nodes of one Arrow batch run) and emits
-    one edge per node to its root; the forests are then contracted with
-    alternating large-star and small-star steps until nothing changes.  Each
-    step aggregates a minimum map-side, so a node with very many edges costs
-    no more than its partial minima.
+    Union-find on Spark.  Edges are dealt to tasks of about ``edges_per_task``;
+    each task unites its own (path-halving union-find) and emits one edge per
+    node to its root.  With one task that is the result; otherwise the forests
+    are contracted with alternating large-star and small-star steps until
+    nothing changes.  Each step aggregates a minimum map-side, so a node with
+    very many edges costs no more than its partial minima.
     """
-    e = cut(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).mapInArrow(_local_union, edges_schema(edges, a)),
-            "edges")
+    e = cut(edges.select(F.col(a).alias("u"), F.col(b).alias("v")), "edges")
+    tasks = e.count() // edges_per_task + 1
+    forest = cut(e.repartition(int(tasks)).mapInArrow(_local_union, edges_schema(edges, a)), "forest")
+    drop_cut(e)
+    e = forest
+    if tasks == 1:
+        roots = e.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("comp"))
+        return e.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionAll(roots)
     while True:
         both = e.select("u", "v").unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
@@ -248,21 +254,22 @@ def edges_schema(edges: DataFrame, a: str):
 
 
 def _local_union(it):
-    """Unite the edges of each batch and emit (node, root) pairs, root the smallest node."""
-    for batch in it:
-        parent: dict = {}
+    """Unite a task's edges and emit (node, root) pairs, root the smallest node."""
+    parent: dict = {}
 
-        def find(x):
-            while parent.setdefault(x, x) != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
 
+    schema = None
+    for batch in it:
+        schema = batch.schema
         for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             x, y = find(x), find(y)
             if x != y:
                 parent[max(x, y)] = min(x, y)
+    if schema is not None:
         pairs = [(x, find(x)) for x in list(parent) if find(x) != x]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([p[0] for p in pairs], batch.schema[0].type),
-             pa.array([p[1] for p in pairs], batch.schema[1].type)], names=["u", "v"])
+        yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], schema[i].type) for i in (0, 1)], names=["u", "v"])

@@ -182,9 +182,10 @@ def test_difference_bound_never_loses_a_pair():
         assert np.abs(parts[0] - parts[1]).sum() <= a.size + b.size - 2 * both
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("per_task", [200_000, 20])
+def test_components_of_chains_and_stars(spark, per_task):
     edges = [(i, i + 1) for i in range(100, 160)] + [(1, i) for i in range(2, 50)] + [(300, 200), (250, 200), (300, 7)]
-    got = {r.node: r.comp for r in common.components(spark.createDataFrame(edges, "a long, b long").repartition(5)).collect()}
+    got = {r.node: r.comp for r in common.components(spark.createDataFrame(edges, "a long, b long"), edges_per_task=per_task).collect()}
     assert {got[i] for i in range(100, 161)} == {100} and {got[i] for i in [*range(1, 50), 200, 250, 300]} == {1}
 
 
