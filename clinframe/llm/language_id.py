@@ -258,6 +258,6 @@ def identify(docs: DataFrame, max_grams: int = MAX_GRAMS, rejected_share: float
     limits = (scored.filter(in_training(F.col("doc_id")) & F.col("entropy").isNotNull()).groupBy("lang_pred")
               .agg(F.percentile_approx("entropy", 1 - rejected_share, 10_000).alias("limit")))
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
-    return (scored.join(limits, "lang_pred", "left")
+    return (scored.join(F.broadcast(limits), "lang_pred", "left")  # one row per learned language
             .select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "entropy",
                     F.coalesce(F.col("entropy") > F.col("limit"), F.col("lang_pred") == "und").alias("rejected")))
