@@ -225,8 +225,8 @@ def near_duplicates(docs: DataFrame, k: int = 4, bands: int = 32, rows: int = 6,
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document of each near-duplicate group: the one of smallest id.
 
-    Repeated rows of the kept document collapse into one.  A group whose
-    members all have null ids keeps one of them; all columns are kept.
+    Repeated rows of the kept document collapse into one.  In a group without
+    any id each different text stays once; all columns are kept.
     """
     marks = near_duplicates(docs, **options)
     keep = marks.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "tkey").agg(F.lit(1).alias("one"))
