@@ -65,4 +65,18 @@ SELECT doc_id, license, n_found, n_template, n_found / n_template AS containment
 FROM hit JOIN size USING (license) WHERE 100 * n_found >= 80 * n_template
 """ % ", ".join("('%s', '%s')" % (n, t.replace("'", "''")) for n, t in TEMPLATES)
 
-ORACLE = {"op4_line_frequency": LINE_FREQUENCY, "op7_line_windows": LINE_WINDOWS, "op10_license_bands": LICENSES}
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                       '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, w[i:i + 3] AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM pairs JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+ends AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, b.y FROM reach r JOIN ends b ON b.x = r.other),
+comp AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM comp LEFT JOIN n USING (doc_id)
+"""
+
+ORACLE = {"op2_superminhash": NEAR_DUPLICATES, "op4_line_frequency": LINE_FREQUENCY, "op7_line_windows": LINE_WINDOWS, "op10_license_bands": LICENSES}
