@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, cut, hasher, mix, shingles, small_batches, text_key
 
 HUBS = 16
+#: Nodes of a block when an open bucket is compared whole.
+BLOCK = 1024
 SKETCH = pa.schema([("doc_id", pa.int64()), ("tkey", pa.int64()), ("n_shingles", pa.int64()),
                     ("node", pa.binary()), ("parts", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
@@ -101,6 +103,52 @@ def _possible(similarity_pct: int):
     return run
 
 
+def _block(column):
+    """A list column's element of one row -> nodes, components, sizes and parts as arrays."""
+    f = column.values
+    node, comp, size, parts = (f.field(i) for i in range(4))
+    return (node, np.unique(np.array(comp.to_pylist(), object), return_inverse=True)[1], comp, size.to_numpy(zero_copy_only=False),
+            np.frombuffer(b"".join(parts.to_pylist()), np.uint8).reshape(-1, 256).astype(np.int16))
+
+
+def _whole(similarity_pct: int):
+    """(own, other) blocks of a bucket, other null for own against itself -> (a, b) of all pairs that may be similar.
+
+    Every pair of different components is tested by the bound of :func:`_possible`.
+    """
+    def pairs(own, other):
+        node, _, comp, size, parts = own
+        if other is None:  # the largest component comes last: its nodes have no partner after them
+            number = own[1]
+            order = np.lexsort((number, np.bincount(number)[number]))
+            number, size, parts = number[order], size[order], parts[order]
+            node = node.take(pa.array(order))
+            onode, onumber, osize, oparts = node, number, size, parts
+        else:
+            onode, _, ocomp, osize, oparts = other
+            number = np.unique(np.array(comp.to_pylist() + ocomp.to_pylist(), object), return_inverse=True)[1]
+            number, onumber = number[: size.size], number[size.size:]
+        for i in range(size.size):
+            lo = i + 1 if other is None else 0
+            small, large = np.minimum(osize[lo:], size[i]), np.maximum(osize[lo:], size[i])
+            j = lo + np.flatnonzero((onumber[lo:] != number[i]) & (100 * small >= similarity_pct * large))
+            if not j.size:
+                if other is None and number[i] == number[-1]:
+                    break
+                continue
+            apart = np.abs(oparts[j] - parts[i]).sum(axis=1)
+            j = j[(100 + similarity_pct) * apart <= (100 - similarity_pct) * (osize[j] + size[i])]
+            if j.size:
+                yield pa.RecordBatch.from_arrays([node.take(pa.array(np.full(j.size, i))), onode.take(pa.array(j))], names=["a", "b"])
+
+    def run(it):
+        for batch in it:
+            for r in range(batch.num_rows):
+                own, other = batch.column(0)[r], batch.column(1)[r]
+                yield from pairs(_block(own), _block(other) if other.is_valid else None)
+    return run
+
+
 def _verify(k: int, similarity_pct: int):
     """Pairs with both texts -> (a, b) of the pairs whose full shingle sets are similar enough."""
     def run(it):
@@ -132,19 +180,24 @@ def near_duplicates(docs: DataFrame, k: int = 4, bands: int = 32, rows: int = 6,
        ``bands`` keys of ``rows`` components).  Texts with the same shingle set
        are one *node*, so groups of exact copies never meet again as rows.
        At similarity 0.8 a pair shares a band with probability 1 - 6e-5.
-    2. Nodes that share a band key form a bucket.  Buckets are compared in
-       rounds against hubs, never all pairs: round one tests each node against
-       its smallest hub.  Each later round takes the buckets that still span
-       several components and tests every node outside a bucket's largest
-       component against HUBS random nodes of the bucket, unless counts by
-       hash part already show that they are too different; hubs of the largest
-       component have then met all others and retire.  A bucket of at most
-       HUBS nodes is so settled exactly.  The rounds end after
-       ``quiet_rounds`` rounds without a new link; None goes on until no
-       bucket is open, so that each pair of each bucket is either tested or
-       already connected.
-    3. A link counts when the full shingle sets agree (100*i >= pct*union).
-    4. Union-find over the links (:func:`common.components`).
+    2. Nodes that share a band key form a bucket; buckets of the same nodes
+       count once.  Rounds against hubs unite most of a bucket cheaply: round
+       one tests each node against its smallest hub.  Each later round takes
+       the buckets that still span several components and tests every node
+       outside a bucket's largest component against HUBS random nodes of the
+       bucket, unless counts by hash part already show that they are too
+       different; hubs of the largest component have then met all others and
+       retire.  The rounds end after ``quiet_rounds`` rounds without a new
+       link, or when no bucket is open.
+    3. Buckets still open are compared whole: every node outside the largest
+       component against every node of another component, by blocks of about
+       BLOCK nodes inside the tasks, through exact bounds (sizes, counts by
+       hash part).  Pairs within the bounds are checked a few per pair of
+       components at a time, until each is checked or connected.  So each pair
+       of each bucket is tested or connected, whatever ``quiet_rounds`` is;
+       the tests grow with the product of a bucket's open and all nodes.
+    4. A link counts when the full shingle sets agree (100*i >= pct*union).
+    5. Union-find over the links (:func:`common.components`).
 
     Words: runs without ASCII white space, A-Z lower-cased; fewer than ``k``
     words form one shingle.  Null, empty or blank texts have no shingles, are
@@ -163,8 +216,9 @@ def near_duplicates(docs: DataFrame, k: int = 4, bands: int = 32, rows: int = 6,
                      F.first("n_shingles").alias("size"), F.first("parts").alias("parts"), F.first("bands").alias("bands")), "nodes")
 
     keyed = nodes.select(F.explode("bands").alias("bkey"), "node")
-    shared = (keyed.groupBy("bkey").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-              .filter("lo <> hi").select("bkey", F.col("lo").alias("hub")))
+    shared = (keyed.groupBy("bkey").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n"),
+                                        *[F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"x{i}") for i in (0, 1)])
+              .filter("lo <> hi").groupBy("lo", "hi", "n", "x0", "x1").agg(F.min("bkey").alias("bkey")).select("bkey", F.col("lo").alias("hub")))
     buckets = cut(keyed.join(cut(shared, "shared"), "bkey"), "buckets")  # bkey, node, hub
 
     members = buckets.select("node").distinct()
@@ -185,13 +239,58 @@ def near_duplicates(docs: DataFrame, k: int = 4, bands: int = 32, rows: int = 6,
         merged = components(named, "ca", "cb").select(F.col("node").alias("comp"), F.col("comp").alias("into"))
         return cut(comps.join(merged, "comp", "left").select("node", F.coalesce("into", "comp").alias("comp")), "comps")
 
+    def spread(left: DataFrame, comps: DataFrame):
+        """The members of open buckets with their components, and each open bucket's largest component and sizes."""
+        state = left.join(comps, "node").select("bkey", "node", "comp")
+        main = (state.groupBy("bkey", "comp").agg(F.count("*").alias("n")).groupBy("bkey")
+                .agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("comps")).filter("comps > 1")
+                .select("bkey", F.col("top.comp").alias("main"), F.col("top.n").alias("n_main"), "n"))
+        return state, main
+
+    def compared(left: DataFrame, comps: DataFrame) -> DataFrame:
+        """``comps`` after all pairs of the buckets in ``left``."""
+        state, main = spread(left, comps)
+        main = cut(main, "whole")
+        if not main.take(1):
+            return comps
+        nth = F.xxhash64("node", F.lit("block"))
+        # own blocks from 0 on; the largest component of a bucket of several blocks below 0
+        number = (F.when(F.col("n") <= BLOCK, F.lit(0))
+                  .when(F.col("comp") == F.col("main"), -1 - F.pmod(nth, F.ceil(F.col("n_main") / BLOCK)))
+                  .otherwise(F.pmod(nth, F.ceil((F.col("n") - F.col("n_main")) / BLOCK))).cast("int"))
+        blocks = cut(state.join(main, "bkey").select("bkey", number.alias("block"), "node", "comp")
+                     .join(nodes.select("node", "size", "parts"), "node")
+                     .groupBy("bkey", "block").agg(F.collect_list(F.struct("node", "comp", "size", "parts")).alias("held")), "blocks")
+        names = blocks.select("bkey", "block")
+        both = (names.filter("block >= 0").withColumnRenamed("block", "i")
+                .join(names.withColumnRenamed("block", "j"), "bkey").filter("j < 0 or j >= i"))
+        both = (both.join(blocks.select("bkey", F.col("block").alias("i"), F.col("held").alias("own")), ["bkey", "i"])
+                .join(blocks.select("bkey", F.col("block").alias("j"), F.col("held").alias("other")), ["bkey", "j"])
+                .select("own", F.when(F.col("i") != F.col("j"), F.col("other")).alias("other")))
+        small_batches(spark, 32)
+        pairs = cut(both.mapInArrow(_whole(similarity_pct), "a binary, b binary")
+                    .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "possible")
+        small_batches(spark)
+        share = HUBS
+        while True:
+            pairs = cut(pairs.join(comps.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a")
+                        .join(comps.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b").filter("ca <> cb")
+                        .select("a", "b", F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb")), "possible")
+            if not pairs.take(1):
+                return comps
+            nth = F.row_number().over(Window.partitionBy("ca", "cb").orderBy(F.xxhash64("a", "b"), "a", "b"))
+            now = cut(pairs.withColumn("nth", nth).filter(F.col("nth") <= share).select("a", "b"), "now")
+            found = confirmed(now, "links")
+            if found.take(1):
+                comps = united(comps, found)
+            pairs = pairs.select("a", "b").join(now, ["a", "b"], "left_anti")
+            share *= HUBS
+
     first = buckets.filter("node <> hub").groupBy("node").agg(F.min("hub").alias("b")).select(F.col("node").alias("a"), "b")
     comps = united(members.select("node", F.col("node").alias("comp")), confirmed(first, "links"))
     left, salt, quiet = buckets.select("bkey", "node"), 0, 0
     while quiet_rounds is None or quiet < quiet_rounds:
-        state = left.join(comps, "node").select("bkey", "node", "comp")
-        main = state.groupBy("bkey", "comp").agg(F.count("*").alias("n")).groupBy("bkey").agg(
-            F.max(F.struct("n", "comp"))["comp"].alias("main"), F.count("*").alias("comps")).filter("comps > 1")
+        state, main = spread(left, comps)
         picks = [F.max(F.struct(F.xxhash64("node", F.lit(salt + i)).alias("r"), "node", "comp")).alias(f"h{i}") for i in range(HUBS)]
         hubs = F.array_distinct(F.array(*[F.struct(F.col(f"h{i}.node"), F.col(f"h{i}.comp")) for i in range(HUBS)]))
         open_ = state.groupBy("bkey").agg(*picks).join(main, "bkey").select("bkey", "main", F.explode(hubs).alias("h"))
@@ -212,6 +311,7 @@ def near_duplicates(docs: DataFrame, k: int = 4, bands: int = 32, rows: int = 6,
         met = open_.select("bkey", "main", F.explode("hubs").alias("h")).filter("h.comp = main").select("bkey", "h.node")
         left = cut(state.join(open_.select("bkey"), "bkey", "left_semi").join(met, ["bkey", "node"], "left_anti").select("bkey", "node"), "left")
         salt += HUBS
+    comps = compared(left, comps)
 
     labels = (nodes.join(comps, "node", "left").select("node", "min_doc", F.coalesce("comp", "node").alias("comp")))
     low = labels.groupBy("comp").agg(F.min("min_doc").alias("component_id"))

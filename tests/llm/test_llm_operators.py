@@ -165,6 +165,24 @@ def test_near_copies_of_one_text_form_one_group(spark):
     assert sorted(r.doc_id for r in near_dup.drop_near_duplicates(rows).collect()) == sorted({c for _, c in want.values()})
 
 
+@pytest.mark.parametrize("block", [1024, 7])
+def test_a_pair_in_a_large_bucket_of_templates_is_found(spark, monkeypatch, block):
+    base, texts = prose(11, 200).split(), []
+    for i in range(160):  # templates of similarity 0.6 to 0.8 with different fill-ins
+        w = list(base)
+        for p in range(0, 200, 24):
+            w[p] = f"fill{i}x{p}"
+        texts.append(" ".join(w))
+    for i in (70, 101, 130):  # one word off
+        texts.append(texts[i].replace(base[3], f"other{i}"))
+    rows = docs(spark, texts)
+    want = brute_components([(r.doc_id, r.text) for r in rows.collect()])
+    assert len({c for _, c in want.values()}) == 160
+    monkeypatch.setattr(near_dup, "HUBS", 1)  # random hubs of the one bucket hardly ever meet the pairs
+    monkeypatch.setattr(near_dup, "BLOCK", block, raising=False)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(rows, bands=1, rows=1).collect()} == want
+
+
 def test_superminhash_estimates_similarity():
     rng = np.random.default_rng(3)
     a = rng.integers(0, 2 ** 63, 1000).astype(np.uint64)
