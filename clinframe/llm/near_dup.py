@@ -184,10 +184,10 @@ def near_duplicates(docs: DataFrame, k: int = 4, bands: int = 32, rows: int = 6,
        count once.  Rounds against hubs unite most of a bucket cheaply: round
        one tests each node against its smallest hub.  Each later round takes
        the buckets that still span several components and tests every node
-       outside a bucket's largest component against HUBS random nodes of the
-       bucket, unless counts by hash part already show that they are too
+       outside a bucket's largest component against HUBS distinct random nodes of
+       the bucket, unless counts by hash part already show that they are too
        different; hubs of the largest component have then met all others and
-       retire.  The rounds end after ``quiet_rounds`` rounds without a new
+       retire, and a bucket of at most HUBS nodes is settled.  The rounds end after ``quiet_rounds`` rounds without a new
        link, or when no bucket is open.
     3. Buckets still open are compared whole: every node outside the largest
        component against every node of another component, by blocks of about
@@ -291,11 +291,10 @@ def near_duplicates(docs: DataFrame, k: int = 4, bands: int = 32, rows: int = 6,
     left, salt, quiet = buckets.select("bkey", "node"), 0, 0
     while quiet_rounds is None or quiet < quiet_rounds:
         state, main = spread(left, comps)
-        picks = [F.max(F.struct(F.xxhash64("node", F.lit(salt + i)).alias("r"), "node", "comp")).alias(f"h{i}") for i in range(HUBS)]
-        hubs = F.array_distinct(F.array(*[F.struct(F.col(f"h{i}.node"), F.col(f"h{i}.comp")) for i in range(HUBS)]))
-        open_ = state.groupBy("bkey").agg(*picks).join(main, "bkey").select("bkey", "main", F.explode(hubs).alias("h"))
-        open_ = (open_.select("bkey", "main", "h.node", "h.comp").join(nodes.select("node", "size", "parts"), "node")
-                 .groupBy("bkey", "main").agg(F.collect_list(F.struct("node", "comp", "size", "parts")).alias("hubs")))  # HUBS at most
+        drawn = F.row_number().over(Window.partitionBy("bkey").orderBy(F.xxhash64("bkey", "node", F.lit(salt)), "node"))
+        open_ = (state.join(main, "bkey").withColumn("drawn", drawn).filter(F.col("drawn") <= HUBS).select("bkey", "main", "n", "node", "comp")
+                 .join(nodes.select("node", "size", "parts"), "node")
+                 .groupBy("bkey", "main", "n").agg(F.collect_list(F.struct("node", "comp", "size", "parts")).alias("hubs")))  # HUBS at most
         open_ = cut(open_, "open")
         if not open_.take(1):
             break
@@ -307,10 +306,10 @@ def near_duplicates(docs: DataFrame, k: int = 4, bands: int = 32, rows: int = 6,
         quiet = 0 if new else quiet + 1
         if new:
             comps = united(comps, found)
-        # hubs of the main component have met every node outside it
+        # hubs of the main component have met every node outside it; where all nodes were hubs, all pairs are settled
         met = open_.select("bkey", "main", F.explode("hubs").alias("h")).filter("h.comp = main").select("bkey", "h.node")
-        left = cut(state.join(open_.select("bkey"), "bkey", "left_semi").join(met, ["bkey", "node"], "left_anti").select("bkey", "node"), "left")
-        salt += HUBS
+        left = cut(state.join(open_.filter(F.col("n") > HUBS).select("bkey"), "bkey", "left_semi").join(met, ["bkey", "node"], "left_anti").select("bkey", "node"), "left")
+        salt += 1
     comps = compared(left, comps)
 
     labels = (nodes.join(comps, "node", "left").select("node", "min_doc", F.coalesce("comp", "node").alias("comp")))

@@ -183,6 +183,23 @@ def test_a_pair_in_a_large_bucket_of_templates_is_found(spark, monkeypatch, bloc
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(rows, bands=1, rows=1).collect()} == want
 
 
+def test_small_buckets_are_settled_by_one_round(spark, monkeypatch):
+    rng, texts = np.random.default_rng(12), []
+    for g in range(60):  # 3 to 16 texts: a chain of near pairs, its ends not similar
+        w = prose(100 + g, 150).split()
+        for i in range(3 + g % 14):
+            w = list(w)
+            for p in rng.choice(150, 3, replace=False):
+                w[p] = f"step{g}x{i}x{p}"
+            texts.append(" ".join(w))
+    rows = docs(spark, texts)
+    want = brute_components([(r.doc_id, r.text) for r in rows.collect()])
+    whole, left = near_dup._whole, []
+    monkeypatch.setattr(near_dup, "_whole", lambda pct: left.append(pct) or whole(pct))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(rows).collect()} == want
+    assert not left  # nothing was left for the whole comparison
+
+
 def test_superminhash_estimates_similarity():
     rng = np.random.default_rng(3)
     a = rng.integers(0, 2 ** 63, 1000).astype(np.uint64)
