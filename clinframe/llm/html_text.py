@@ -28,8 +28,9 @@ VOID = frozenset("br hr img input meta link source wbr area base col embed param
 MARKED = re.compile(r"(?:^|[\s_-])(ads?|advert\w*|advertisement|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|alert|popup|modal|newsletter|subscribe|"
                     r"comments?|replies|disqus|sidebar|side|menu|nav\w*|breadcrumbs?|footer|masthead|toolbar|share|sharing|social|related|recommended|widget|"
                     r"pagination|pager|login|signup|search|complementary|contentinfo)(?=$|[\s_-])", re.I)
-ATTRIBUTE = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-HIDDEN = re.compile(r"""\bhidden\b|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+STATE = re.compile(r"(?:has|have|no|not|with|without)[_-].*|.*[_-](?:open|opened|closed|enabled|disabled)", re.I)  # of the page, not of its parts
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+NO_DISPLAY = re.compile(r"(?:^|[;\s])display\s*:\s*none", re.I)
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|iframe|title)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"""
                    r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>[^<>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>""", re.S | re.I)
 WORD = re.compile(r"\w+")
@@ -42,8 +43,19 @@ def blocks(page: str):
     """(text, characters inside links, region, marked, heading) of each block in page order.
 
     ``region`` numbers the article or main element that holds the block, 0 outside.
+    Names never mark body, main, an article that is in no other article, or an
+    element that holds main; nor one that holds articles, unless the page has
+    an article outside such elements.
     """
-    stack: list[tuple[str, bool, int]] = []  # open containers: tag, marked, region
+    found, lost = _blocks(page, False)
+    yield from _blocks(page, True)[0] if lost else found
+
+
+def _blocks(page: str, lift: bool):
+    """The blocks, and whether all articles are inside named elements; with ``lift`` the names of those don't count."""
+    out: list[tuple[str, int, int, bool, bool]] = []
+    stack: list[list] = []  # open containers: tag, marked by tag or hidden, marked by name, region
+    articles = [0, 0]  # outside and inside elements marked by name
     parts: list[str] = []
     link_chars = links = regions = 0
     block_marked = heading = False
@@ -53,7 +65,8 @@ def blocks(page: str):
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                yield (text, link_chars, stack[-1][2] if stack else 0, block_marked or bool(stack and stack[-1][1]), heading)
+                out.append((text, link_chars, stack[-1][3] if stack else 0,
+                            block_marked or bool(stack) and (stack[-1][1] or any(x[2] for x in stack)), heading))
             parts, link_chars = [], 0
 
     def words(raw):
@@ -80,37 +93,53 @@ def blocks(page: str):
             continue
         if tag not in BLOCKS:
             continue
-        yield from flush()
+        flush()
         block_marked, links = False, 0
         heading = tag in HEADINGS and not closing
         if tag in CONTAINERS:
             if closing:
-                if any(t == tag for t, _, _ in stack):
+                if any(x[0] == tag for x in stack):
                     while stack.pop()[0] != tag:
                         pass
                 continue
             if tag in VOID or attributes.rstrip().endswith("/"):
                 continue
             if tag in ("article", "main"):  # an unclosed menu or header ends here
-                while stack and stack[-1][0] in ("nav", "header", "ul", "ol", "head") and not (len(stack) > 1 and stack[-2][1]):
+                while stack and stack[-1][0] in ("nav", "header", "ul", "ol", "head") and not (len(stack) > 1 and (stack[-2][1] or stack[-2][2])):
                     stack.pop()
-            marked, region = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
-            if tag in ("article", "main") and not marked and not region:
-                regions += 1
-                region = regions
-            marked = marked or tag in SKIPPED or (tag == "header" and not region) or _is_marked(attributes)
-            stack.append((tag, marked, region))
+            marked, region = (stack[-1][1], stack[-1][3]) if stack else (False, 0)
+            hidden, named = _marks(attributes)
+            if tag in ("body", "main") or tag == "article" and all(x[0] != "article" for x in stack):
+                named = False
+                if tag == "main" or tag == "article" and lift:
+                    for x in stack:
+                        x[2] = False
+                inside = any(x[2] for x in stack)
+                if tag == "article" and not marked and not hidden:
+                    articles[inside] += 1
+                if tag != "body" and not marked and not inside and not region:
+                    regions += 1
+                    region = regions
+            stack.append([tag, marked or hidden or tag in SKIPPED or (tag == "header" and not region), named, region])
         elif not closing:
-            block_marked = _is_marked(attributes)
+            block_marked = any(_marks(attributes))
     if at < len(page):
         words(page[at:])
-    yield from flush()
-
-
-def _is_marked(attributes: str) -> bool:
-    if not attributes:
-        return False
-    return bool(HIDDEN.search(attributes)) or any(MARKED.search(a or b or c) for a, b, c in ATTRIBUTE.findall(attributes))
+    flush()
+    return out, bool(articles[1] and not articles[0])
+
+
+def _marks(attributes: str) -> tuple[bool, bool]:
+    """Whether a tag hides its element, and whether class, id, role or label name something that is not the article."""
+    hidden = named = False
+    for name, a, b, c in ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), a or b or c
+        if name in ("class", "id", "role", "aria-label"):
+            named = named or any(MARKED.search(t) and not STATE.fullmatch(t) for t in value.split())
+        else:
+            hidden = (hidden or name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true"
+                      or name == "style" and bool(NO_DISPLAY.search(value)))
+    return hidden, named
 
 
 def first_pass(text: str, link_chars: int, region: int, marked: bool, heading: bool) -> str:

@@ -256,6 +256,35 @@ def test_pages_without_article_follow_the_block_rules():
     assert html_text.main_text(page).split("\n\n") == [good.strip(), "Short line.", good.strip()]
 
 
+@pytest.mark.parametrize("page", [
+    '<body class="has-sidebar"><article>{}</article></body>',
+    '<body class="overflow-hidden"><article>{}</article></body>',
+    '<body id="search"><main>{}</main></body>',
+    '<div style="overflow:hidden"><article>{}</article></div>',
+    '<div data-x="hidden" class=no-menu><article>{}</article></div>',
+    '<article class="post comments-open">{}</article>',
+    '<article class="post social">{}</article>',
+    '<div class="content-sidebar"><div class="widget"><article>{}</article></div></div>',
+    '<main><div class="sidebar-left"><article>{}</article></div></main>',
+    '<section class="search"><main class="share">{}</main></section>',
+    '<body class="no-nav"><div class="has-menu">{}</div></body>',
+])
+def test_loose_marks_lose_no_article(page):
+    text = "This is the text of the article and it is long enough to be taken as one of the good blocks on the page. " * 3
+    assert html_text.main_text(page.format(f"<p>{text}</p>")) == text.strip()
+
+
+@pytest.mark.parametrize("part", [
+    '<div class="comments-area"><article class="comment">{}</article></div>', '<article class="comment">{}</article>', '<div hidden>{}</div>',
+    '<div aria-hidden="true">{}</div>', '<div style="color:red;display: none">{}</div>', '<div class="box related">{}</div>', '<div id=comments>{}</div>'])
+def test_marked_and_hidden_parts_stay_out(part):
+    text = "This is the text of the article and it is long enough to be taken as one of the good blocks on the page. " * 3
+    other = part.format(f"<p>Not {text}</p>")
+    assert html_text.main_text(f"<body><main><article><p>{text}</p>{other}</article></main></body>") == text.strip()
+    if "<article" not in part or "area" in part:
+        assert html_text.main_text(f"<body><main><article><p>{text}</p></article>{other}</main></body>") == text.strip()
+
+
 def test_second_pass_takes_the_nearest_decided_neighbours():
     labels = ["bad", "short", "good", "short", "near", "good", "short", "bad", "near"]
     assert html_text.second_pass(labels, [0] * 9) == [False, False, True, True, True, True, False, False, True]
