@@ -192,6 +192,8 @@ def test_small_buckets_are_settled_by_one_round(spark, monkeypatch):
             for p in rng.choice(150, 3, replace=False):
                 w[p] = f"step{g}x{i}x{p}"
             texts.append(" ".join(w))
+    base = prose(13, 200).split()  # 12 templates that no link unites
+    texts += [" ".join(f"fill{i}x{p}" if p % 24 == 0 else x for p, x in enumerate(base)) for i in range(12)]
     rows = docs(spark, texts)
     want = brute_components([(r.doc_id, r.text) for r in rows.collect()])
     whole, left = near_dup._whole, []
