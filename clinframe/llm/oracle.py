@@ -1,6 +1,7 @@
 """DuckDB SQL of the operators that SQL can express, over the registered tables."""
 
 from .licenses import TEMPLATES
+from .oracle_merkle import MERKLE_SQL
 
 LINE_WINDOWS = r"""
 WITH raw AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls, text FROM documents),
@@ -79,4 +80,5 @@ SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_
 FROM comp LEFT JOIN n USING (doc_id)
 """
 
-ORACLE = {"op2_superminhash": NEAR_DUPLICATES, "op4_line_frequency": LINE_FREQUENCY, "op7_line_windows": LINE_WINDOWS, "op10_license_bands": LICENSES}
+ORACLE = {"op2_superminhash": NEAR_DUPLICATES, "op4_line_frequency": LINE_FREQUENCY, "op7_line_windows": LINE_WINDOWS, "op10_license_bands": LICENSES,
+          "op12_merkle_witnesses": MERKLE_SQL}

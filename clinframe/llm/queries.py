@@ -9,12 +9,15 @@ from .html_text import extract
 from .language_id import identify
 from .licenses import scan
 from .line_dedup import line_dedup
+from .merkle import verified_manifest
 from .near_dup import near_duplicates
 from .oracle import ORACLE
 from .packing import pack
 from .quality import line_frequency
+from .quality_votes import classify
 from .substring_dedup import repeated_bytes
 from .url_filter import url_verdicts
+from .whitening import whiten
 
 
 def _read(spark, sf_dir: str, table: str):
@@ -74,6 +77,22 @@ def op10_license_bands(spark, sf_dir):
     return scan(_read(spark, sf_dir, "documents"))
 
 
+def op11_neighbour_votes(spark, sf_dir):
+    """Quality of every document, learned from the labels of two of three."""
+    return classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op12_merkle_witnesses(spark, sf_dir):
+    """Merkle manifest of all documents, each witness checked against its tampered document."""
+    return verified_manifest(_read(spark, sf_dir, "documents"))
+
+
+def op13_lanczos_whitening(spark, sf_dir):
+    """Whitened embeddings, one row per vector and component."""
+    out = whiten(_read(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES = {
     "op1_string_tiling": op1_string_tiling,
     "op2_superminhash": op2_superminhash,
@@ -85,6 +104,9 @@ QUERIES = {
     "op8_kneser_ney": op8_kneser_ney,
     "op9_url_trees": op9_url_trees,
     "op10_license_bands": op10_license_bands,
+    "op11_neighbour_votes": op11_neighbour_votes,
+    "op12_merkle_witnesses": op12_merkle_witnesses,
+    "op13_lanczos_whitening": op13_lanczos_whitening,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
