@@ -18,8 +18,17 @@ union of anchors and features:
   earlier one.  Running frames take linear time however dense a day is, and
   several features with different lookbacks share one sort and one exchange.
 
+* A (keys, bucket) of more than ``dense_rows`` rows is a *dense* one: it is cut
+  by quantiles of its times into pieces of about that size, the running
+  ``last`` stays inside a piece, and one summary row per piece carries the
+  latest candidate on to the later pieces, where it is checked against the
+  lookback like any other.  So no task holds a whole dense stay-day.  Finding
+  the dense ones takes a counting job when the frame is built
+  (``dense_rows=None``: no job, no cuts).
+
 Feature rows must be unique per (keys, time) -- pre-aggregate them (with
 ``max``) as the pivots do; ties are otherwise resolved arbitrarily, as in SQL.
+Rows of one time stay in one piece.
 """
 
 from __future__ import annotations
@@ -30,6 +39,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinframe.functions.expr import interval_micros, micros_since_epoch
+from clinframe.session import store
+
+#: Rows of a (keys, bucket) above which it is cut into pieces; the piece's size.
+DENSE_ROWS = 4_000_000
+#: Most pieces of a dense (keys, bucket).
+MOST_PIECES = 4096
 
 
 def _hours(n) -> str:
@@ -59,9 +74,54 @@ def _buckets_with_ghost(width: int, lookback: int):
     return F.explode(F.when(near_next, F.array(b, b + 1)).otherwise(F.array(b)))
 
 
+def dense_cuts(rows: DataFrame, keys: Sequence[str], dense_rows: int | None) -> DataFrame | None:
+    """Times that cut each dense group of ``keys`` into pieces: (keys, ``_cuts``), or None without dense groups.
+
+    ``rows`` has the time as ``_us``.  One counting job; where it finds dense
+    groups, approximate quantiles of their times are stored (one row a group).
+    """
+    if dense_rows is None:
+        return None
+    known = rows.filter(F.col("_us").isNotNull())
+    sizes = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > dense_rows)
+    top = sizes.agg(F.max("_n").alias("top")).first().top
+    if top is None:
+        return None
+    pieces = min(-(-top // dense_rows), MOST_PIECES)
+    dense = sizes.select(*[F.col(k).alias(f"_d_{k}") for k in keys])
+    inside = known.join(dense, [known[k].eqNullSafe(dense[f"_d_{k}"]) for k in keys], "left_semi")
+    cuts = inside.groupBy(*keys).agg(F.percentile_approx("_us", [i / pieces for i in range(1, pieces)], max(10_000, 10 * pieces)).alias("_cuts"))
+    return store(cuts, "dense-cuts")
+
+
+def with_piece(rows: DataFrame, keys: Sequence[str], cuts: DataFrame) -> DataFrame:
+    """``rows`` with ``_sub``: the piece of a dense group that holds the row's time, else -1."""
+    c = cuts.select(*[F.col(k).alias(f"_c_{k}") for k in keys], "_cuts")
+    j = rows.join(c, [rows[k].eqNullSafe(c[f"_c_{k}"]) for k in keys], "left")
+    piece = F.when(F.col("_cuts").isNull() | F.col("_us").isNull(), F.lit(-1)).otherwise(
+        F.size(F.filter("_cuts", lambda t: t < F.col("_us"))))
+    return j.select(*rows.columns, piece.alias("_sub"))
+
+
+def running_latest(timeline: DataFrame, keys: Sequence[str], latest: Mapping[str, object], pieces: bool) -> DataFrame:
+    """``timeline`` plus, per entry of ``latest``, the latest non-NULL struct (its time ``_us`` first)
+    at or before each row's time within ``keys``; with ``pieces`` also that of the group's earlier pieces."""
+    inside = Window.partitionBy(*keys, *(["_sub"] if pieces else [])).orderBy("_us").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    out = timeline.select("*", *[F.last(c, ignorenulls=True).over(inside).alias(n) for n, c in latest.items()])
+    if not pieces:
+        return out
+    # One summary row per piece of the dense groups, carried over the pieces and joined back.
+    last = out.filter(F.col("_sub") >= 0).groupBy(*keys, "_sub").agg(*[F.max_by(n, F.col(f"{n}._us")).alias(n) for n in latest])
+    before = Window.partitionBy(*keys).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_sub").alias("_k_sub"),
+                        *[F.last(n, ignorenulls=True).over(before).alias(f"_k{n}") for n in latest])
+    cond = [out[k].eqNullSafe(carry[f"_k_{k}"]) for k in keys] + [out["_sub"] == carry["_k_sub"]]
+    return out.join(carry, cond, "left").select(*timeline.columns, *[F.coalesce(n, f"_k{n}").alias(n) for n in latest])
+
+
 def asof_attach(anchor: DataFrame, feature: DataFrame, *, by: Sequence[str], value_cols: Sequence[str],
                 lookback: str = "4 hours", time: str = "charttime", skip_null_values: bool = True,
-                feature_time: str | None = None, bucket: str = "1 day") -> DataFrame:
+                feature_time: str | None = None, bucket: str = "1 day", dense_rows: int | None = DENSE_ROWS) -> DataFrame:
     """Attach to every ``anchor`` row the latest ``feature`` row within ``lookback``.
 
     Anchor rows are all kept (NULLs when nothing qualifies).  With
@@ -90,17 +150,16 @@ def asof_attach(anchor: DataFrame, feature: DataFrame, *, by: Sequence[str], val
     f = f.withColumn("_b", _buckets_with_ghost(width, lb))
     timeline = a.unionByName(f, allowMissingColumns=True)
 
-    latest = F.last(F.when(F.col("_hit").isNotNull(), F.struct("_us", "_hit")), ignorenulls=True).over(_running(by))
-    got = timeline.withColumn("_got", latest).filter(F.col("_is_anchor"))
+    keys = [*by, "_b"]
+    cuts = dense_cuts(timeline.select(*keys, "_us"), keys, dense_rows)
+    if cuts is not None:
+        timeline = with_piece(timeline, keys, cuts)
+    latest = {"_got": F.when(F.col("_hit").isNotNull(), F.struct("_us", "_hit"))}
+    got = running_latest(timeline, keys, latest, cuts is not None).filter(F.col("_is_anchor"))
     near = F.col("_us") - F.col("_got._us") <= lb
     return got.select(*anchor.columns, *[F.when(near, F.col(f"_got._hit.{c}")).alias(c) for c in payload_cols])
 
 
-def _running(by: Sequence[str]):
-    """Everything of the (keys, bucket) at or before the row's time."""
-    return Window.partitionBy(*by, "_b").orderBy("_us").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-
-
 def asof_candidates(anchor: DataFrame, feature: DataFrame, *, by: Sequence[str], value_cols: Sequence[str],
                     lookback: str = "4 hours", time: str = "charttime", rank_name: str = "rn") -> DataFrame:
     """All feature rows inside each anchor's lookback window, numbered newest first.
@@ -131,7 +190,8 @@ def asof_candidates(anchor: DataFrame, feature: DataFrame, *, by: Sequence[str],
 
 def match_values(values: DataFrame, anchor: str = "pao2", features: Mapping[str, int] | None = None,
                  *, by: Sequence[str] = ("icustay_id",), ids: Sequence[str] = ("subject_id", "hadm_id"),
-                 time: str = "charttime", anchor_alias: str = "pao2", bucket: str = "1 day") -> DataFrame:
+                 time: str = "charttime", anchor_alias: str = "pao2", bucket: str = "1 day",
+                 dense_rows: int | None = DENSE_ROWS) -> DataFrame:
     """For each row with a non-NULL ``anchor``, the latest non-NULL value of
     every feature within its lookback (hours), on one merged timeline.
 
@@ -156,12 +216,19 @@ def match_values(values: DataFrame, anchor: str = "pao2", features: Mapping[str,
     own = _bucket("_us", width)
     timeline = (v.withColumn("_own", own).withColumn("_b", _buckets_with_ghost(width, max_lb))
                 .withColumn("_emit", F.coalesce(F.col("_b") == F.col("_own"), F.lit(True)) & F.col("_anchor").isNotNull()))
-    w = _running(by)
-    latest = [F.last(F.when(F.col(f"_f.{n}").isNotNull(), F.struct("_us", F.col(f"_f.{n}").alias("v"))), ignorenulls=True)
-              .over(w).alias(f"_l_{n}") for n in features]
-    out = (timeline.select(*ids, *by, time, "_us", "_anchor", "_emit", *latest).filter("_emit"))
-    return out.select(*ids, *by, time, F.col("_anchor").alias(anchor_alias),
-                      *[F.when(F.col("_us") - F.col(f"_l_{n}._us") <= lbs[n], F.col(f"_l_{n}.v")).alias(n) for n in features])
+    keys = [*by, "_b"]
+    cuts = dense_cuts(timeline.select(*keys, "_us"), keys, dense_rows)
+    if cuts is not None:
+        timeline = with_piece(timeline, keys, cuts)
+    out = attach_latest(timeline, keys, features, lbs, cuts is not None)
+    return out.select(*ids, *by, time, F.col("_anchor").alias(anchor_alias), *features)
+
+
+def attach_latest(timeline: DataFrame, keys: Sequence[str], features: Sequence[str], lookbacks: Mapping[str, int], pieces: bool) -> DataFrame:
+    """Rows of ``timeline`` marked ``_emit`` with, per feature of the struct ``_f``, its latest non-NULL value within its lookback."""
+    latest = {f"_l_{n}": F.when(F.col(f"_f.{n}").isNotNull(), F.struct("_us", F.col(f"_f.{n}").alias("v"))) for n in features}
+    out = running_latest(timeline, keys, latest, pieces).filter("_emit")
+    return out.select("*", *[F.when(F.col("_us") - F.col(f"_l_{n}._us") <= lookbacks[n], F.col(f"_l_{n}.v")).alias(n) for n in features])
 
 
 def match_values_chain(values: DataFrame, anchor: str = "pao2", features: Mapping[str, int] | None = None,

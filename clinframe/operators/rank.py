@@ -84,3 +84,16 @@ def _rank_by_counts(df: DataFrame, x: DataFrame, partition_cols, order_col: str,
         (F.col("_before_b") + F.col("_before_v") + 1).cast("long").alias(name))
     cond = [x[k].eqNullSafe(ranks[f"_r_{k}"]) for k in keys] + [x[order_col].eqNullSafe(ranks["_r_v"])]
     return x.join(ranks, cond, "inner").select(*df.columns, name)
+
+
+def latest_per_group(df: DataFrame, keys: Sequence[str], time: str, tiebreak: Sequence[str], values: Sequence[str] = ()) -> DataFrame:
+    """One row per group: the one a descending ``row_number() = 1`` takes, NULL times first.
+
+    Rows of equal time are ordered by ``tiebreak``, descending with NULLs last,
+    so the result is defined; rows equal in all of these are interchangeable.
+    As the maximum of a struct it combines map-side and needs no window: a group
+    that holds a third of all rows costs one row per task.  Returns keys, time,
+    ``tiebreak`` and ``values`` (which order last).
+    """
+    total = F.struct(F.col(time).isNull().alias("_none"), F.col(time).alias(time), *[F.col(c).alias(c) for c in [*tiebreak, *values]])
+    return df.groupBy(*keys).agg(F.max(total).alias("_top")).select(*keys, f"_top.{time}", *[f"_top.{c}" for c in [*tiebreak, *values]])

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clinframe.session import store
+
 
 def _stack(pairs: list[tuple[str, str]], name_col: str, value_col: str) -> F.Column:
     """``stack(n, 'a', a, 'b', b, ...)`` as a generator expression."""
@@ -63,6 +65,38 @@ def missing_patterns(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
              .agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Columns of one mask of :func:`missing_profile`.
+MASK_BITS = 62
+
+
+def missing_profile(df: DataFrame, columns: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(:func:`missing_patterns`, :func:`missing_per_column`) from one pass over ``df``.
+
+    A row's missing columns are bits of one or more long masks, so the only
+    aggregation over the rows is a count per mask; it is stored, and both
+    results are read from it, the columns' counts as sums over the patterns.
+    """
+    cols = list(columns or df.columns)
+    groups = [cols[i:i + MASK_BITS] for i in range(0, len(cols), MASK_BITS)]
+    masks = []
+    for g, names in enumerate(groups):
+        mask = F.lit(0).cast("long")
+        for bit, c in enumerate(names):
+            mask = mask + F.when(F.col(f"`{c}`").isNull(), F.lit(1 << bit).cast("long")).otherwise(F.lit(0).cast("long"))
+        masks.append(mask.alias(f"_mask{g}"))
+    counted = store(df.groupBy(*masks).agg(F.count(F.lit(1)).alias("n")), "missing-masks")
+    missing = [F.getbit(f"_mask{g}", F.lit(bit)).cast("int").alias(c) for g, names in enumerate(groups) for bit, c in enumerate(names)]
+    patterns = counted.select(*missing, F.col("n").alias("n"))
+    flags = [F.struct(F.lit(c).alias("variable"), F.getbit(f"_mask{g}", F.lit(bit)).cast("long").alias("missing"))
+             for g, names in enumerate(groups) for bit, c in enumerate(names)]
+    long = counted.select("n", F.inline(F.array(*flags)))
+    per_column = long.groupBy("variable").agg(F.sum(F.col("n") * F.col("missing")).alias("n_missing"))
+    if not cols:
+        return patterns, per_column
+    listed = df.sparkSession.createDataFrame([(c,) for c in cols], "variable string")
+    return patterns, listed.join(per_column, "variable", "left").select("variable", "n_missing")
+
+
 def distinct_values(df: DataFrame, column: str, where=None) -> DataFrame:
     """Sorted distinct values of ``column`` (after an optional filter)."""
     if where is not None:

@@ -1,3 +1,5 @@
 """The study's view DAG (lazy DataFrames) and its materialising rebuild."""
 
-from clinframe.plans.study import ORDER, Study, StudyParams, rebuild  # noqa: F401
+from clinframe.plans.study import (  # noqa: F401
+    ORDER, Study, StudyParams, publish, read_snapshot, rebuild, snapshot_paths,
+)

@@ -28,11 +28,14 @@ lab panel, a note or a service transfer, so the work grows with the tables.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinframe.functions import rules
 from clinframe.operators.asof import carry_forward
+from clinframe.session import list_folder, store
 
 # --------------------------------------------------------------------------
 # FIXED VALUES of the analog mapping (mirrored in oracle_sql.py).
@@ -160,3 +163,46 @@ def clinical_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "chartevents": chartevents, "labevents": labevents, "services": services,
         "admissions": admissions,
     }
+
+
+#: (application, folder, table) -> path of the stored table.
+_stored: dict[tuple[str, str, str], str] = {}
+_tables: dict[tuple[str, str], StoredTables] = {}
+
+
+class StoredTables(Mapping):
+    """The clinical tables of a folder, each derived and written once per application, when first asked for.
+
+    They stand for tables that the study finds stored; queries over them then
+    measure the study's work and not the mapping's.  A table that was deleted
+    meanwhile is written again.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self._dir, self._tables = spark, sf_dir, clinical_tables(spark, sf_dir)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._tables)
+
+    def __len__(self) -> int:
+        return len(self._tables)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        df = self._tables[name]
+        key = (self.spark.sparkContext.applicationId, self._dir, name)
+        path = _stored.get(key)
+        if path and "_SUCCESS" in list_folder(self.spark, path):
+            return self.spark.read.schema(df.schema).parquet(path)
+        out = store(df, f"table-{name}", lasting=True)
+        _stored[key] = out.stored_path
+        return out
+
+
+def stored_clinical_tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    """:func:`clinical_tables`, stored; derived anew by each query where ``spark.checkpoint.dir`` is unset."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        return clinical_tables(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _tables or _tables[key].spark is not spark:
+        _tables[key] = StoredTables(spark, sf_dir)
+    return _tables[key]

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from clinframe import operators as op
-from clinframe.plans import Study, StudyParams, rebuild
+from clinframe.plans import Study, StudyParams, read_snapshot, rebuild
 from clinframe.sources import clinical_tables, list_tables, read_parquet_tables, run_sql
 from conftest import SMOKE_DIR
 from fixtures import chart_row, frame, ts, T0
@@ -23,7 +23,7 @@ def test_rebuild_stores_what_the_lazy_views_hold(spark, tmp_path):
     stored = Study(tables, StudyParams(min_age_years=28.0, note_pattern="%6%"))
     paths = rebuild(spark, stored, str(tmp_path / "views"))
     assert list(paths)[0] == "select_patient" and list(paths)[-1] == "matchvalue_lab"
-    reread = read_parquet_tables(spark, str(tmp_path / "views"), names=list(paths))
+    reread = read_snapshot(spark, str(tmp_path / "views"))
     for view in ("select_patient", "pf", "cohort_with_pf", "eligible", "patientsvalue", "matchvalue", "matchvalue_lab"):
         assert _rows(reread[view]) == _rows(lazy[view]), view
 
