@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,23 +49,6 @@ def rule_value(item, value, rules) -> Column:
     return expr.otherwise(F.lit(None).cast("double"))
 
 
-def label_by_item(item, labels: Mapping[str, Iterable[int]]) -> Column:
-    """CASE item IN (...) THEN label ... ELSE NULL."""
-    item = col(item)
-    expr = None
-    for label, items in labels.items():
-        cond = item.isin(list(items))
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr.otherwise(F.lit(None).cast("string"))
-
-
-def label_by_item_map(item, item_to_label: Mapping[int, str]) -> Column:
-    grouped: dict[str, list[int]] = {}
-    for i, label in item_to_label.items():
-        grouped.setdefault(label, []).append(i)
-    return label_by_item(item, grouped)
-
-
 def micros_since_epoch(ts) -> Column:
     """Microseconds since 1970-01-01 for TIMESTAMP_NTZ (no time-zone shift)."""
     return F.expr(f"timestampdiff(MICROSECOND, {_EPOCH_NTZ}, {_sql(ts)})")
@@ -121,8 +102,17 @@ def bucket_of(column: str, width_us: int) -> Column:
     return F.expr(f"({us} - pmod({us}, {int(width_us)})) div {int(width_us)}")
 
 
+#: Most buckets that one window may touch: 27 years of days.
+MOST_BUCKETS = 10_000
+
+
 def buckets_between(lo: str, hi: str, width_us: int) -> Column:
     """Every bucket id from ``lo``'s to ``hi``'s (one row each when exploded);
-    NULL when either bound is NULL or ``hi < lo``."""
+    NULL when either bound is NULL or ``hi < lo``.
+
+    A window of more than :data:`MOST_BUCKETS` buckets (an end in the year 9999,
+    say) is an error of the data: the query stops and names its bounds instead
+    of listing the window millions of times."""
     a, b = bucket_of(lo, width_us), bucket_of(hi, width_us)
-    return F.when(b >= a, F.sequence(a, b))
+    far = F.raise_error(F.concat(F.lit("window of too many buckets: "), F.col(lo).cast("string"), F.lit(" to "), F.col(hi).cast("string")))
+    return F.when(b - a >= MOST_BUCKETS, far.cast("array<bigint>")).when(b >= a, F.sequence(a, b))

@@ -121,14 +121,17 @@ def running_latest(timeline: DataFrame, keys: Sequence[str], latest: Mapping[str
 
 def asof_attach(anchor: DataFrame, feature: DataFrame, *, by: Sequence[str], value_cols: Sequence[str],
                 lookback: str = "4 hours", time: str = "charttime", skip_null_values: bool = True,
-                feature_time: str | None = None, bucket: str = "1 day", dense_rows: int | None = DENSE_ROWS) -> DataFrame:
+                feature_time: str | None = None, bucket: str = "1 day", dense_rows: int | None = DENSE_ROWS,
+                bucket_name: str | None = None) -> DataFrame:
     """Attach to every ``anchor`` row the latest ``feature`` row within ``lookback``.
 
     Anchor rows are all kept (NULLs when nothing qualifies).  With
     ``skip_null_values`` the latest row having any non-NULL value column is
     taken; without it the latest row is taken even when its values are NULL
     (SQL ``row_number() ... = 1`` over a LEFT JOIN).  ``feature_time`` names an
-    optional output column with the matched feature's time.
+    optional output column with the matched feature's time.  ``bucket_name``
+    names one with the anchor's bucket, for an operator that goes on with the
+    same partitioning (:func:`asof_candidates`).
     """
     lb = interval_micros(lookback)
     width = max(interval_micros(bucket), lb)
@@ -157,21 +160,25 @@ def asof_attach(anchor: DataFrame, feature: DataFrame, *, by: Sequence[str], val
     latest = {"_got": F.when(F.col("_hit").isNotNull(), F.struct("_us", "_hit"))}
     got = running_latest(timeline, keys, latest, cuts is not None).filter(F.col("_is_anchor"))
     near = F.col("_us") - F.col("_got._us") <= lb
-    return got.select(*anchor.columns, *[F.when(near, F.col(f"_got._hit.{c}")).alias(c) for c in payload_cols])
+    return got.select(*anchor.columns, *[F.when(near, F.col(f"_got._hit.{c}")).alias(c) for c in payload_cols],
+                      *([F.col("_b").alias(bucket_name)] if bucket_name else []))
 
 
 def asof_candidates(anchor: DataFrame, feature: DataFrame, *, by: Sequence[str], value_cols: Sequence[str],
-                    lookback: str = "4 hours", time: str = "charttime", rank_name: str = "rn") -> DataFrame:
+                    lookback: str = "4 hours", time: str = "charttime", rank_name: str = "rn",
+                    bucket_name: str | None = None) -> DataFrame:
     """All feature rows inside each anchor's lookback window, numbered newest first.
 
     A LEFT range join: anchors without candidates get one row of NULLs with
     ``rank_name`` = 1.  The join is an equi join on ``(keys, bucket)`` with
     bucket width = lookback (features are copied into the bucket their
     window reaches), so only nearby rows are ever compared -- never all rows
-    of a stay.
+    of a stay.  ``bucket_name``: a column of ``anchor`` that already is its
+    bucket of that width (it is dropped); the anchors keep its partitioning.
     """
     lb = max(interval_micros(lookback), 1)
-    a = anchor.withColumn("_us", micros_since_epoch(time)).withColumn("_ab", _bucket("_us", lb))
+    a = anchor.withColumnRenamed(bucket_name, "_ab") if bucket_name else \
+        anchor.withColumn("_us", micros_since_epoch(time)).withColumn("_ab", _bucket("_us", lb))
     f = (feature.filter(_valid(feature, by, time))
          .withColumn("_fus", micros_since_epoch(time)).withColumn("_fus_end", F.col("_fus") + F.lit(lb))
          .select(*[F.col(k).alias(f"_f_{k}") for k in by], F.col(time).alias("_ft"),
@@ -184,7 +191,7 @@ def asof_candidates(anchor: DataFrame, feature: DataFrame, *, by: Sequence[str],
     # the same groups as (keys, time); listing it lets the join's (keys,
     # bucket) partitioning satisfy the window without another exchange.
     w = Window.partitionBy(*by, "_ab", time).orderBy(F.col("_ft").desc_nulls_first())
-    return j.select(*anchor.columns, F.row_number().over(w).cast("long").alias(rank_name),
+    return j.select(*[c for c in anchor.columns if c != bucket_name], F.row_number().over(w).cast("long").alias(rank_name),
                     *[F.col(f"_v_{c}").alias(c) for c in value_cols])
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from clinframe.functions import rules as R
 from clinframe.functions.expr import bucket_of, buckets_between, days_between, interval_micros, shift, years_between
-from clinframe.operators.asof import carry_forward
 from clinframe.operators.rank import bucketed_rank
 from clinframe.session import store
 
@@ -89,16 +88,12 @@ def surgical_flag(service) -> F.Column:
     return _flag(cond)
 
 
-def left_theta(left: DataFrame, right: DataFrame, on, key, name: str) -> DataFrame:
+def left_theta(left: DataFrame, right: DataFrame, on) -> DataFrame:
     """LEFT JOIN on an equality and a range, as an inner join (either side of a hot
-    key may be split) that is computed once, and the left rows whose ``key``
-    (unique in ``left``) it lacks, with NULLs."""
-    pairs = store(left.join(right, on, "inner"), name)
-    found = pairs.select(*[F.col(k).alias(f"_f_{k}") for k in key]).distinct()
-    match = [left[k].eqNullSafe(found[f"_f_{k}"]) for k in key]
-    alone = left.join(found, match, "left_anti").select(
-        *left.columns, *[F.lit(None).cast(t).alias(c) for c, t in right.dtypes])
-    return pairs.unionByName(alone)
+    key may be split) and, by an anti join of the same inputs, the left rows
+    without a partner, with NULLs.  Both joins read the same exchanges."""
+    alone = left.join(right, on, "left_anti").select(*left.columns, *[F.lit(None).cast(t).alias(c) for c, t in right.dtypes])
+    return left.join(right, on, "inner").unionByName(alone)
 
 
 def service_at_entry(icustays: DataFrame, services: DataFrame, grace: str = "12 hours",
@@ -107,11 +102,12 @@ def service_at_entry(icustays: DataFrame, services: DataFrame, grace: str = "12
     ranked newest first per ``partition`` (the admission, as in the study).
 
     NULL transfer times (stays with no such service) rank *first*, as a
-    descending sort does in PostgreSQL.
+    descending sort does in PostgreSQL.  The pairs are stored once when the
+    frame is built: the rank reads them twice.
     """
     sv = services.select(F.col("hadm_id").alias("_sv_hadm"), "transfertime", "curr_service")
     s = icustays.select(*STAY_KEYS, "intime", shift("intime", grace).alias("_limit"))
-    j = left_theta(s, sv, (s.hadm_id == sv._sv_hadm) & (sv.transfertime < s._limit), STAY_KEYS, "services")
+    j = left_theta(s, sv, (s.hadm_id == sv._sv_hadm) & (sv.transfertime < s._limit))
     rows = j.select("hadm_id", "icustay_id", "transfertime", "curr_service",
                     surgical_flag("curr_service").alias("surgical"))
     rows = store(rows, "service-pairs")
@@ -121,38 +117,41 @@ def service_at_entry(icustays: DataFrame, services: DataFrame, grace: str = "12
 
 def service_rank1(icustays: DataFrame, services: DataFrame, grace: str = "12 hours",
                   partition: str = "hadm_id") -> DataFrame:
-    """The rank-1 rows of :func:`service_at_entry`, without forming its pairs.
-
-    Rank 1 per ``partition`` is either the stays with no qualifying service
-    (NULL sorts first, descending) or, if there are none, the pairs at the
-    latest qualifying transfer time T of the partition.  So: L(stay) = latest
-    service of the admission before intime + grace (a carry-forward over a
-    services + probe timeline, split by day), T = max L and "any L is NULL"
-    per partition (partial aggregates), then an equi join to the services at
-    time T.  Returns ``(hadm_id, icustay_id, curr_service, surgical)``.
+    """The rank-1 rows of :func:`service_at_entry` per ``partition``, without ranking its pairs.
+
+    A stay's latest service before its limit (intime + ``grace``) grows with the
+    limit.  So a partition needs four numbers, all mergeable aggregates: the
+    first transfer of its admission, the earliest and latest limit of its stays,
+    and from the last of these ``top``, the latest transfer that any of them
+    reaches.
+
+    * If a stay has no service before its limit (the first transfer is not
+      before the earliest limit, or a limit is NULL), NULL ranks first: rank 1
+      are these stays, without a service.
+    * Else rank 1 are the services at time ``top`` with each stay of their
+      admission whose limit is after it.
+
+    No window runs over the stays or services.  Returns
+    ``(hadm_id, icustay_id, curr_service, surgical)``.
     """
-    limit = F.expr(f"intime + INTERVAL {grace} - INTERVAL 1 MICROSECOND")   # t < x  <=>  t <= x - 1 us
-    probes = icustays.select("hadm_id", "icustay_id", limit.alias("_t"), F.lit(None).cast("timestamp_ntz")
-                             .alias("_svc_t"), F.lit(1).alias("_tie"))
-    svc = services.filter(F.col("transfertime").isNotNull()).select(
-        "hadm_id", F.lit(None).cast("long").alias("icustay_id"), F.col("transfertime").alias("_t"),
-        F.col("transfertime").alias("_svc_t"), F.lit(0).alias("_tie"))
-    timeline = svc.unionByName(probes).filter(F.col("hadm_id").isNotNull() | (F.col("_tie") == 1))
-    latest = (carry_forward(timeline, by=["hadm_id"], time="_t", value="_svc_t", name="_latest", tiebreak="_tie")
-              .filter(F.col("_tie") == 1)
-              .withColumn("_latest", F.when(F.col("hadm_id").isNotNull() & F.col("_t").isNotNull(),
-                                            F.col("_latest"))))
-    per = latest.groupBy(partition).agg(F.max("_latest").alias("_top"),
-                                        F.max(F.col("_latest").isNull().cast("int")).alias("_has_null"))
-    j = latest.join(per, latest[partition].eqNullSafe(per[partition]), "inner").drop(per[partition])
-    nulls = j.filter((F.col("_has_null") == 1) & F.col("_latest").isNull()).select(
-        "hadm_id", "icustay_id", F.lit(None).cast("string").alias("curr_service"))
-    tops = j.filter((F.col("_has_null") == 0) & (F.col("_latest") == F.col("_top")))
-    sv = services.select(F.col("hadm_id").alias("_sv_hadm"), F.col("transfertime").alias("_sv_t"), "curr_service")
-    pairs = tops.join(sv, (tops.hadm_id == sv._sv_hadm) & (tops._top == sv._sv_t), "inner").select(
+    s = icustays.select(F.col(partition).alias("_part"), "hadm_id", "icustay_id", shift("intime", grace).alias("_limit"))
+    known = services.filter(F.col("hadm_id").isNotNull() & F.col("transfertime").isNotNull()).select(
+        F.col("hadm_id").alias("_sv_hadm"), F.col("transfertime").alias("_sv_t"), "curr_service")
+    limits = s.groupBy(F.col("_part").alias("_g_part"), F.col("hadm_id").alias("_g_hadm")).agg(
+        F.min("_limit").alias("_lo"), F.max("_limit").alias("_hi"), F.max(F.col("_limit").isNull()).alias("_open"))
+    reached = known.join(limits, known._sv_hadm == limits._g_hadm, "inner").groupBy("_g_part", "_g_hadm", "_lo", "_open").agg(
+        F.min("_sv_t").alias("_first"), F.max(F.when(F.col("_sv_t") < F.col("_hi"), F.col("_sv_t"))).alias("_top"))
+    j = s.join(reached, s._part.eqNullSafe(reached._g_part) & (s.hadm_id == reached._g_hadm), "left")
+    j = j.withColumn("_any", F.col("_first").isNull() | F.col("_open") | (F.col("_first") >= F.col("_lo")))
+    if partition != "hadm_id":  # several admissions may meet in a partition
+        whole = j.groupBy(F.col("_part").alias("_w_part")).agg(F.max("_any").alias("_w_any"), F.max("_top").alias("_w_top"))
+        j = j.join(whole, j._part.eqNullSafe(whole._w_part), "inner").drop("_any", "_top").withColumnsRenamed({"_w_any": "_any", "_w_top": "_top"})
+    without = F.col("_first").isNull() | F.col("_limit").isNull() | (F.col("_limit") <= F.col("_first"))
+    nulls = j.filter(F.col("_any") & without).select("hadm_id", "icustay_id", F.lit(None).cast("string").alias("curr_service"))
+    tops = j.filter(~F.col("_any") & (F.col("_limit") > F.col("_top"))).select("hadm_id", "icustay_id", "_top")
+    pairs = tops.join(known, (tops.hadm_id == known._sv_hadm) & (tops._top == known._sv_t), "inner").select(
         "hadm_id", "icustay_id", "curr_service")
-    out = pairs.unionByName(nulls)
-    return out.withColumn("surgical", surgical_flag("curr_service"))
+    return pairs.unionByName(nulls).withColumn("surgical", surgical_flag("curr_service"))
 
 
 def select_patients_surgical(icustays: DataFrame, patients: DataFrame, services: DataFrame,

@@ -16,7 +16,8 @@ def pf_ratio(po2: DataFrame, fio2_charted: DataFrame, lookback: str = "4 hours")
 
     The charted FiO2 is the latest charted row (even if its value is NULL)
     within ``lookback`` before the sample.  A zero FiO2 gives NULL rather
-    than an error (``try_divide``).
+    than an error (``try_divide``).  Every row of ``po2`` is kept: where a stay
+    is listed under two admissions, both of its rows are.
     """
     fio2 = fio2_charted.select("icustay_id", "charttime", "fio2_chartevents")
     rows = asof_attach(po2, fio2, by=("icustay_id",), value_cols=["fio2_chartevents"],
@@ -52,11 +53,13 @@ def specimen_probability(bloodgas: DataFrame, spo2: DataFrame, fio2_charted: Dat
     """
     bg = bloodgas.filter(F.col("po2").isNotNull())
     s = spo2.select("icustay_id", "charttime", "spo2")
-    with_spo2 = asof_attach(bg, s, by=("icustay_id",), value_cols=["spo2"], lookback="2 hours",
-                            skip_null_values=False).withColumn("lastrowspo2", F.lit(1).cast("long"))
+    # Buckets of four hours serve both lookbacks: blood gases and SpO2 rows are
+    # exchanged once, FiO2 rows once, and the numbering needs no exchange.
+    with_spo2 = asof_attach(bg, s, by=("icustay_id",), value_cols=["spo2"], lookback="2 hours", skip_null_values=False,
+                            bucket="4 hours", bucket_name="_four_hours").withColumn("lastrowspo2", F.lit(1).cast("long"))
     f = fio2_charted.select("icustay_id", "charttime", "fio2_chartevents")
     rows = asof_candidates(with_spo2, f, by=("icustay_id",), value_cols=["fio2_chartevents"],
-                           lookback="4 hours", rank_name="lastrowfio2")
+                           lookback="4 hours", rank_name="lastrowfio2", bucket_name="_four_hours")
     if latest_only:
         rows = rows.filter(F.col("lastrowfio2") == 1)
     score = F.lit(R.SPECIMEN_INTERCEPT) + F.lit(R.SPECIMEN_PO2_COEF) * F.col("po2")

@@ -83,7 +83,7 @@ def theta_left_join_q(t):
     """LEFT JOIN with one equi key and a one-sided interval bound."""
     icu, sv = t["icustays"], t["services"].select(F.col("hadm_id").alias("_h"), "transfertime", "curr_service")
     icu = icu.select("hadm_id", "icustay_id", "intime")
-    j = left_theta(icu, sv, (icu.hadm_id == sv._h) & (sv.transfertime < shift("intime", "12 hours")), ["icustay_id"], "theta")
+    j = left_theta(icu, sv, (icu.hadm_id == sv._h) & (sv.transfertime < shift("intime", "12 hours")))
     return j.select("icustay_id", "transfertime", "curr_service")
 
 

@@ -298,3 +298,40 @@ def test_latest_per_group_breaks_ties_without_a_window(spark):
     out = op.latest_per_group(df, ["hadm_id"], "transfertime", ["curr_service"])
     assert {tuple(r) for r in out.collect()} == {(1, ts(2), "C"), (2, None, "N"), (3, None, None), (None, ts(1), "Q")}
     assert "Window" not in _plan(out)
+
+
+def test_service_rank1_reads_its_inputs_without_a_window(spark, stored):
+    out = op.service_rank1(stored["icustays"], stored["services"])
+    out.collect()
+    plan = _plan(out)
+    assert "Window" not in plan and len(re.findall(r"(?<!Broadcast)Exchange ", plan)) <= 8, plan
+    surgical = op.select_patients_surgical(stored["icustays"], stored["patients"], stored["services"])
+    surgical.collect()
+    assert len(re.findall(r"\bWindow \[", _plan(surgical))) <= 2       # those of the rank of the stays
+
+
+def test_left_theta_stores_nothing(spark, stored):
+    before = list(session._owned[-1])
+    icu = stored["icustays"].select("hadm_id", "icustay_id", "intime")
+    sv = stored["services"].select(F.col("hadm_id").alias("_h"), "transfertime")
+    j = op.left_theta(icu, sv, (icu.hadm_id == sv._h) & (sv.transfertime < icu.intime))
+    plain = icu.join(sv, (icu.hadm_id == sv._h) & (sv.transfertime < icu.intime), "left")
+    assert _rows(j) == _rows(plain) and session._owned[-1] == before
+
+
+def test_specimen_probability_exchanges_each_input_once(spark, stored, tmp_path):
+    for name, df in {"bg": op.lab_first_day(stored["icustays"], stored["labevents"], keep_empty=False),
+                     "spo2": op.stage_spo2(stored["chartevents"]), "fio2": op.normalize_fio2(stored["chartevents"])}.items():
+        df.write.parquet(str(tmp_path / name))
+    bg, spo2, fio2 = (spark.read.parquet(str(tmp_path / n)) for n in ("bg", "spo2", "fio2"))
+    plan = op.specimen_probability(bg, spo2, fio2.hint("shuffle_merge"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2, plan             # blood gases with SpO2, and FiO2
+
+
+def test_endless_window_is_an_error(spark):
+    stays = spark.sql("SELECT 1L AS subject_id, 10L AS hadm_id, 100L AS icustay_id, timestamp_ntz'2024-01-01 00:00:00' AS intime, "
+                      "timestamp_ntz'9999-12-31 00:00:00' AS outtime")
+    labs = frame(spark, "labevents", [(1, 10, 50821, ts(1), "ART", 80.0)])
+    with pytest.raises(Exception, match="window of too many buckets: 2024-01-01 00:00:00 to 9999-12-31"):
+        op.lab_in_stay(stays, labs).collect()
+    assert op.lab_first_day(stays, labs).count() == 1
