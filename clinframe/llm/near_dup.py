@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, cut, hasher, mix, shingles, small_batches, text_key
+from .common import components, cut, drop_cut, hasher, mix, shingles, small_batches, text_key
 
 HUBS = 16
 #: Nodes of a block when an open bucket is compared whole.
@@ -216,21 +216,26 @@ def near_duplicates(docs: DataFrame, k: int = 4, bands: int = 32, rows: int = 6,
                      F.first("n_shingles").alias("size"), F.first("parts").alias("parts"), F.first("bands").alias("bands")), "nodes")
 
     keyed = nodes.select(F.explode("bands").alias("bkey"), "node")
-    shared = (keyed.groupBy("bkey").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n"),
-                                        *[F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"x{i}") for i in (0, 1)])
-              .filter("lo <> hi").groupBy("lo", "hi", "n", "x0", "x1").agg(F.min("bkey").alias("bkey")).select("bkey", F.col("lo").alias("hub")))
-    buckets = cut(keyed.join(cut(shared, "shared"), "bkey"), "buckets")  # bkey, node, hub
-
-    members = buckets.select("node").distinct()
-    reps = nodes.join(members, "node", "left_semi").select("node", F.col("rep.doc_id").alias("rid"), F.col("rep.tkey").alias("rkey"))
+    shared = cut(keyed.groupBy("bkey").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n"),
+                                           *[F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"x{i}") for i in (0, 1)])
+                 .filter("lo <> hi").groupBy("lo", "hi", "n", "x0", "x1").agg(F.min("bkey").alias("bkey"))
+                 .select("bkey", F.col("lo").alias("hub")), "shared")
+    # one row per node from here on, with its buckets (at most ``bands``) as an array
+    held = keyed.join(shared, "bkey").groupBy("node").agg(F.collect_list(F.struct("bkey", "hub")).alias("buckets"))
+    members = cut(held.join(nodes.select("node", "size", "parts", "rep"), "node"), "members")
+
+    reps = members.select("node", F.col("rep.doc_id").alias("rid"), F.col("rep.tkey").alias("rkey"))
     texts = cut(src.join(reps, F.col("doc_id").eqNullSafe(F.col("rid")) & (F.col("tkey") == F.col("rkey")))
                 .groupBy("node").agg(F.first("text").alias("text")), "texts")
 
-    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
+    def confirmed(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+        pairs = cut(pairs, "candidates")  # its size is known to the joins
         both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
                 .join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
                 .select("a", "b", "ta", "tb"))
-        return cut(both.mapInArrow(_verify(k, similarity_pct), "a binary, b binary"), name)
+        links = cut(both.mapInArrow(_verify(k, similarity_pct), "a binary, b binary"), name)
+        drop_cut(pairs)
+        return links
 
     def united(comps: DataFrame, links: DataFrame) -> DataFrame:
         """``comps`` after ``links``: the components of the contracted graph, which is small in later rounds."""
@@ -239,27 +244,35 @@ def near_duplicates(docs: DataFrame, k: int = 4, bands: int = 32, rows: int = 6,
         merged = components(named, "ca", "cb").select(F.col("node").alias("comp"), F.col("comp").alias("into"))
         return cut(comps.join(merged, "comp", "left").select("node", F.coalesce("into", "comp").alias("comp")), "comps")
 
-    def spread(left: DataFrame, comps: DataFrame):
-        """The members of open buckets with their components, and each open bucket's largest component and sizes."""
-        state = left.join(comps, "node").select("bkey", "node", "comp")
-        main = (state.groupBy("bkey", "comp").agg(F.count("*").alias("n")).groupBy("bkey")
+    def opened(left: DataFrame, comps: DataFrame) -> DataFrame:
+        """Nodes of ``left`` (node, bkeys) that are in open buckets: node, comp and, of each such bucket, its
+        key, its largest component with that one's size, and its own size."""
+        state = cut(left.join(comps, "node").select("node", "comp", "bkeys"), "state")
+        rows = state.select(F.explode("bkeys").alias("bkey"), "node", "comp")
+        main = (rows.groupBy("bkey", "comp").agg(F.count("*").alias("n")).groupBy("bkey")
                 .agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("comps")).filter("comps > 1")
                 .select("bkey", F.col("top.comp").alias("main"), F.col("top.n").alias("n_main"), "n"))
-        return state, main
+        main = cut(main, "main")
+        out = cut(rows.join(main, "bkey").groupBy("node", "comp")
+                  .agg(F.collect_list(F.struct("bkey", "main", "n_main", "n")).alias("open")), "open")
+        drop_cut(state)
+        drop_cut(main)
+        return out
 
     def compared(left: DataFrame, comps: DataFrame) -> DataFrame:
         """``comps`` after all pairs of the buckets in ``left``."""
-        state, main = spread(left, comps)
-        main = cut(main, "whole")
-        if not main.take(1):
+        inside = opened(left, comps)
+        if not inside.take(1):
             return comps
         nth = F.xxhash64("node", F.lit("block"))
+
         # own blocks from 0 on; the largest component of a bucket of several blocks below 0
-        number = (F.when(F.col("n") <= BLOCK, F.lit(0))
-                  .when(F.col("comp") == F.col("main"), -1 - F.pmod(nth, F.ceil(F.col("n_main") / BLOCK)))
-                  .otherwise(F.pmod(nth, F.ceil((F.col("n") - F.col("n_main")) / BLOCK))).cast("int"))
-        blocks = cut(state.join(main, "bkey").select("bkey", number.alias("block"), "node", "comp")
-                     .join(nodes.select("node", "size", "parts"), "node")
+        def number(o):
+            return (F.when(o["n"] <= BLOCK, F.lit(0))
+                    .when(F.col("comp") == o["main"], -1 - F.pmod(nth, F.ceil(o["n_main"] / BLOCK)))
+                    .otherwise(F.pmod(nth, F.ceil((o["n"] - o["n_main"]) / BLOCK))).cast("int"))
+        dealt = inside.select("node", "comp", F.transform("open", lambda o: F.struct(o["bkey"].alias("bkey"), number(o).alias("block"))).alias("at"))
+        blocks = cut(dealt.join(members.select("node", "size", "parts"), "node").select(F.inline("at"), "node", "comp", "size", "parts")
                      .groupBy("bkey", "block").agg(F.collect_list(F.struct("node", "comp", "size", "parts")).alias("held")), "blocks")
         names = blocks.select("bkey", "block")
         both = (names.filter("block >= 0").withColumnRenamed("block", "i")
@@ -271,46 +284,63 @@ def near_duplicates(docs: DataFrame, k: int = 4, bands: int = 32, rows: int = 6,
         pairs = cut(both.mapInArrow(_whole(similarity_pct), "a binary, b binary")
                     .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "possible")
         small_batches(spark)
+        drop_cut(blocks)
         share = HUBS
         while True:
+            before = pairs
             pairs = cut(pairs.join(comps.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a")
                         .join(comps.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b").filter("ca <> cb")
                         .select("a", "b", F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb")), "possible")
+            drop_cut(before)
             if not pairs.take(1):
                 return comps
             nth = F.row_number().over(Window.partitionBy("ca", "cb").orderBy(F.xxhash64("a", "b"), "a", "b"))
             now = cut(pairs.withColumn("nth", nth).filter(F.col("nth") <= share).select("a", "b"), "now")
-            found = confirmed(now, "links")
+            found = confirmed(now, texts, "links")
             if found.take(1):
                 comps = united(comps, found)
-            pairs = pairs.select("a", "b").join(now, ["a", "b"], "left_anti")
+            rest = cut(pairs.select("a", "b").join(now, ["a", "b"], "left_anti"), "possible")
+            drop_cut(pairs)
+            pairs = rest
             share *= HUBS
 
-    first = buckets.filter("node <> hub").groupBy("node").agg(F.min("hub").alias("b")).select(F.col("node").alias("a"), "b")
-    comps = united(members.select("node", F.col("node").alias("comp")), confirmed(first, "links"))
-    left, salt, quiet = buckets.select("bkey", "node"), 0, 0
+    first = members.select(F.col("node").alias("a"), F.array_min(F.filter(F.col("buckets.hub"), lambda h: h != F.col("node"))).alias("b")).filter("b is not null")
+    comps = united(members.select("node", F.col("node").alias("comp")), confirmed(first, texts, "links"))
+    left, salt, quiet = members.select("node", F.col("buckets.bkey").alias("bkeys")), 0, 0
     while quiet_rounds is None or quiet < quiet_rounds:
-        state, main = spread(left, comps)
-        drawn = F.row_number().over(Window.partitionBy("bkey").orderBy(F.xxhash64("bkey", "node", F.lit(salt)), "node"))
-        open_ = (state.join(main, "bkey").withColumn("drawn", drawn).filter(F.col("drawn") <= HUBS).select("bkey", "main", "n", "node", "comp")
-                 .join(nodes.select("node", "size", "parts"), "node")
-                 .groupBy("bkey", "main", "n").agg(F.collect_list(F.struct("node", "comp", "size", "parts")).alias("hubs")))  # HUBS at most
-        open_ = cut(open_, "open")
+        open_ = opened(left, comps)
         if not open_.take(1):
+            left = None
             break
-        outside = state.join(open_, "bkey").filter("comp <> main").select("node", "comp", "hubs")
-        pairs = (outside.join(nodes.select("node", "size", "parts").hint("merge"), "node").select("node", "comp", "size", "parts", "hubs")
+        if not salt:  # what the later rounds may need, without the nodes that are settled
+            whole = texts
+            texts = cut(texts.join(open_.select("node"), "node", "left_semi"), "texts")
+            drop_cut(whole)
+        rows = open_.select(F.inline("open"), "node", "comp")
+        drawn = F.row_number().over(Window.partitionBy("bkey").orderBy(F.xxhash64("bkey", "node", F.lit(salt)), "node"))
+        drawn = rows.withColumn("drawn", drawn).filter(F.col("drawn") <= HUBS)
+        drawn = cut(drawn.groupBy("node", "comp").agg(F.collect_list("bkey").alias("hub_of")), "drawn")
+        payload = members.select("node", "size", "parts")
+        hubs = (drawn.join(payload, "node").select(F.explode("hub_of").alias("bkey"), "node", "comp", "size", "parts")
+                .groupBy("bkey").agg(F.collect_list(F.struct("node", "comp", "size", "parts")).alias("hubs")))  # HUBS at most
+        outside = open_.select("node", "comp", F.filter("open", lambda o: o["main"] != F.col("comp"))["bkey"].alias("bkeys")).filter(F.size("bkeys") > 0)
+        pairs = (outside.join(payload, "node").select(F.explode("bkeys").alias("bkey"), "node", "comp", "size", "parts")
+                 .join(hubs, "bkey").select("node", "comp", "size", "parts", "hubs")
                  .mapInArrow(_possible(similarity_pct), "a binary, b binary").distinct())
-        found = confirmed(pairs, "links")
+        found = confirmed(pairs, texts, "links")
         new = bool(found.take(1))
         quiet = 0 if new else quiet + 1
         if new:
             comps = united(comps, found)
         # hubs of the main component have met every node outside it; where all nodes were hubs, all pairs are settled
-        met = open_.select("bkey", "main", F.explode("hubs").alias("h")).filter("h.comp = main").select("bkey", "h.node")
-        left = cut(state.join(open_.filter(F.col("n") > HUBS).select("bkey"), "bkey", "left_semi").join(met, ["bkey", "node"], "left_anti").select("bkey", "node"), "left")
+        still = lambda o: (o["n"] > HUBS) & ~((o["main"] == F.col("comp")) & F.coalesce(F.array_contains("hub_of", o["bkey"]), F.lit(False)))
+        after = open_.join(drawn.select("node", "hub_of"), "node", "left").select("node", F.filter("open", still)["bkey"].alias("bkeys"))
+        left = cut(after.filter(F.size("bkeys") > 0), "left")
+        drop_cut(open_)
+        drop_cut(drawn)
         salt += 1
-    comps = compared(left, comps)
+    if left is not None:
+        comps = compared(left, comps)
 
     labels = (nodes.join(comps, "node", "left").select("node", "min_doc", F.coalesce("comp", "node").alias("comp")))
     low = labels.groupBy("comp").agg(F.min("min_doc").alias("component_id"))
