@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small_batches, text_key
+from .common import cut, drop_cut, small_batches, text_key
 
 ORDER = 4
-#: Grams of the highest order kept per language, most frequent first: bounds the model sent to the tasks.
-MAX_GRAMS = 200_000
 PIECE = 1 << 20
+#: Bytes of model tables that a task keeps.
+CACHE_BYTES = 256 << 20
 SPACE = 32
 
 
@@ -48,17 +50,31 @@ def alphabet() -> Alphabet:
 
 def gram_codes(codes: np.ndarray) -> np.ndarray:
     """Each run of ORDER codes as one 64-bit integer, the latest in the low bits; spaces come before the first."""
-    a = np.concatenate((np.full(ORDER - 1, SPACE, np.uint64), codes.astype(np.uint64)))
-    out = np.zeros(codes.size, np.uint64)
+    return _runs(np.concatenate((np.full(ORDER - 1, SPACE, np.uint64), codes.astype(np.uint64))))
+
+
+def _runs(a: np.ndarray) -> np.ndarray:
+    out = np.zeros(max(a.size - ORDER + 1, 0), np.uint64)
     for i in range(ORDER):
-        out = (out << np.uint64(16)) | a[i:i + codes.size]
+        out = (out << np.uint64(16)) | a[i:i + out.size]
     return out
 
 
 def _pieces(text: str):
-    """A text in pieces of bounded size; a gram that crosses a piece border is read from spaces instead."""
-    for lo in range(0, len(text), PIECE):
-        yield alphabet().codes(text[lo:lo + PIECE])
+    """(codes, grams) of a text in pieces of bounded size, together those of the whole text."""
+    table = alphabet().table
+    before, last = np.full(ORDER - 1, SPACE, np.uint64), -1
+    for lo in range(0, max(len(text), 1), PIECE):
+        a = table[np.frombuffer(text[lo:lo + PIECE].encode("utf-32-le", "surrogatepass"), np.uint32)]
+        a = np.concatenate(([SPACE] * (lo == 0), a, [SPACE] * (lo + PIECE >= len(text)))).astype(np.uint16)
+        keep = a != SPACE
+        keep[1:] |= a[:-1] != SPACE
+        keep[0] |= last != SPACE
+        codes = a[keep]
+        if codes.size:
+            context = np.concatenate((before, codes.astype(np.uint64)))
+            yield codes, _runs(context)
+            before, last = context[1 - ORDER:], int(codes[-1])
 
 
 def _count(it):
@@ -71,9 +87,8 @@ def _count(it):
     for batch in it:
         found: dict = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for codes in _pieces(text):
-                if codes.size > 1:
-                    found.setdefault(lang, []).append(gram_codes(codes))
+            for codes, grams in _pieces(text):
+                found.setdefault(lang, []).append(grams)
         for lang, parts in found.items():
             keys, n = np.unique(np.concatenate(parts), return_counts=True)
             if lang in held:
@@ -87,75 +102,94 @@ def _count(it):
         yield rows(lang, keys, n)
 
 
+class SortedTable:
+    """A table sorted by a 64-bit key, in files of the shared folder, that tasks look keys up in.
+
+    Files and row groups hold ascending key ranges, so a lookup of many keys
+    reads the row groups that their ranges meet, one at a time, and keeps at
+    most CACHE_BYTES of them: the table may be of any size.
+    """
+
+    def __init__(self, files: list[tuple[int, int, str]], width: int):
+        self.files, self.width, self.held, self.bytes = sorted(files), width, {}, 0
+
+    def _chunks(self, name: str, lo: int, hi: int):
+        """(keys, values) of the row groups of a file that may hold keys from ``lo`` to ``hi``."""
+        if name not in self.held:
+            file = pq.ParquetFile(_opened(name))
+            spans = [file.metadata.row_group(g).column(0).statistics for g in range(file.num_row_groups)]
+            self.held[name] = file, [(x.min, x.max) for x in spans], {}
+        file, spans, groups = self.held[name]
+        for g, (least, most) in enumerate(spans):
+            if least <= hi and lo <= most:
+                if g not in groups:
+                    if self.bytes > CACHE_BYTES:
+                        for _, _, old in self.held.values():
+                            old.clear()
+                        self.bytes = 0
+                    table = file.read_row_group(g).combine_chunks()
+                    values = pa.concat_arrays(table.column(1).chunks).flatten().to_numpy(zero_copy_only=False)
+                    groups[g] = table.column(0).to_numpy(), values.astype(np.float32).reshape(-1, self.width)
+                    self.bytes += sum(x.nbytes for x in groups[g])
+                yield groups[g]
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(found, values) of int64 keys; the values of keys that aren't found are 0."""
+        order = np.argsort(keys, kind="stable")
+        asked = keys[order]
+        hit, values = np.zeros(keys.size, bool), np.zeros((keys.size, self.width), np.float32)
+        for low, high, name in self.files:
+            lo, hi = np.searchsorted(asked, low, "left"), np.searchsorted(asked, high, "right")
+            if lo == hi:
+                continue
+            for have, rows in self._chunks(name, int(asked[lo]), int(asked[hi - 1])):
+                at = np.minimum(np.searchsorted(have, asked[lo:hi]), have.size - 1)
+                same = np.flatnonzero(have[at] == asked[lo:hi])
+                hit[order[lo + same]] = True
+                values[order[lo + same]] = rows[at[same]]
+        return hit, values
+
+
+def _opened(name: str):
+    """A file that Spark names, opened by pyarrow (whose name for s3a is s3)."""
+    fs, path = pafs.FileSystem.from_uri(name.replace("s3a://", "s3://", 1))
+    return fs.open_input_file(path)
+
+
+def _shelved(df: DataFrame, key: str, columns: list, name: str) -> tuple[DataFrame, list]:
+    """``columns`` by ``key`` in a sorted table, and the key range of each of its files."""
+    table = cut(df.select(F.col(key).alias("key"), F.array(*columns).alias("logs")).orderBy("key"), name)
+    ranges = table.groupBy(F.input_file_name().alias("name")).agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
+    return table, [(r.lo, r.hi, r.name) for r in ranges.collect()]  # a row per file
+
+
 class KneserNey:
-    """Interpolated Kneser-Ney probabilities of every language over shared sorted gram arrays.
+    """Interpolated Kneser-Ney models of all languages, in sorted tables of the shared folder.
 
-    ``keys[k]`` are the sorted grams of order k+1 seen in any language,
-    ``logs[k]`` their log probabilities (gram by language), ``contexts[k]`` and
-    ``back[k]`` the sorted contexts of that order with their log back-off
-    weights.  A gram that is in no array takes its context's back-off weight
-    and the probability of its shorter form.
+    ``grams[k]`` names the files of the grams of order k+1 seen in any language
+    with their log probability in each, ``contexts[k]`` those of their contexts
+    with the log back-off weights.  A gram that is in no table takes its context's
+    back-off weight and the probability of its shorter form.
     """
 
-    def __init__(self, grams: dict[str, tuple[np.ndarray, np.ndarray]], discount: float = 0.75):
-        self.langs = sorted(grams)
-        n = len(self.langs)
-        counts = [[None] * n for _ in range(ORDER)]
-        for j, lang in enumerate(self.langs):
-            keys, c = grams[lang]
-            order = np.argsort(keys)
-            counts[ORDER - 1][j] = keys[order], c[order].astype(float)
-            for k in range(ORDER - 2, -1, -1):  # lower orders count the distinct characters before a gram
-                mask = np.uint64((1 << 16 * (k + 1)) - 1)
-                keys, c = np.unique(counts[k + 1][j][0] & mask, return_counts=True)
-                counts[k][j] = keys, c.astype(float)
-        self.keys = [np.unique(np.concatenate([counts[k][j][0] for j in range(n)])) for k in range(ORDER)]
-        self.unseen = -np.log(self.keys[0].size + 1.0)
-        self.contexts, self.back, self.logs = [], [], []
-        for k in range(ORDER):
-            keys = self.keys[k]
-            ctx = keys >> np.uint64(16)
-            contexts, at = np.unique(ctx, return_inverse=True)
-            lower = np.full((keys.size, n), np.exp(self.unseen))
-            if k:
-                mask = np.uint64((1 << 16 * k) - 1)
-                lower = np.exp(self.logs[k - 1][np.searchsorted(self.keys[k - 1], keys & mask)])
-            probs, back = np.zeros((keys.size, n)), np.ones((contexts.size, n))
-            for j in range(n):
-                c = np.zeros(keys.size)
-                c[np.searchsorted(keys, counts[k][j][0])] = counts[k][j][1]
-                total = np.bincount(at, c, contexts.size)
-                types = np.bincount(at, c > 0, contexts.size)
-                seen = total > 0
-                back[seen, j] = discount * types[seen] / total[seen]
-                probs[:, j] = np.maximum(c - discount, 0) / np.maximum(total, 1)[at] + back[at, j] * lower[:, j]
-            self.contexts.append(contexts)
-            self.back.append(np.log(back).astype(np.float32))
-            self.logs.append(np.log(probs).astype(np.float32))
-
-    @classmethod
-    def sent(cls, state: dict) -> "KneserNey":
-        model = cls.__new__(cls)
-        vars(model).update(state)
-        return model
+    def __init__(self, langs: list[str], grams: list, contexts: list, unseen: float):
+        self.langs, self.files, self.unseen, self.tables = langs, (grams, contexts), unseen, None
 
     def log_probs(self, grams: np.ndarray) -> np.ndarray:
-        """(grams, languages) log probabilities."""
+        """(grams, languages) log probabilities of 64-bit grams."""
+        if self.tables is None:
+            self.tables = [[SortedTable(files, len(self.langs)) for files in orders] for orders in self.files]
         out = np.zeros((grams.size, len(self.langs)), np.float32)
         rest = np.arange(grams.size)
         for k in range(ORDER - 1, -1, -1):
             keys = grams[rest] & np.uint64((1 << 16 * (k + 1)) - 1)
-            at = np.minimum(np.searchsorted(self.keys[k], keys), self.keys[k].size - 1)
-            hit = self.keys[k][at] == keys
-            if rest.size == grams.size and hit.all():
-                return self.logs[k][at]
-            out[rest[hit]] += self.logs[k][at[hit]]
+            hit, logs = self.tables[0][k].find(keys.view(np.int64))
+            out[rest[hit]] += logs[hit]
             rest, ctx = rest[~hit], keys[~hit] >> np.uint64(16)
             if not rest.size:
-                break
-            at = np.minimum(np.searchsorted(self.contexts[k], ctx), self.contexts[k].size - 1)
-            known = self.contexts[k][at] == ctx
-            out[rest[known]] += self.back[k][at[known]]
+                return out
+            known, back = self.tables[1][k].find(ctx.view(np.int64))
+            out[rest[known]] += back[known]
         out[rest] += np.float32(self.unseen)
         return out
 
@@ -167,7 +201,8 @@ class KneserNey:
         def flush():
             nonlocal waiting
             if held:
-                logs = self.log_probs(np.concatenate(held))
+                different, at = np.unique(np.concatenate(held), return_inverse=True)
+                logs = self.log_probs(different)[at]
                 starts = np.concatenate(([0], np.cumsum([h.size for h in held])[:-1]))
                 np.add.at(total, owner, np.add.reduceat(logs, starts, axis=0, dtype=np.float64))
                 held.clear()
@@ -175,13 +210,13 @@ class KneserNey:
             waiting = 0
 
         for i, text in enumerate(texts):
-            for codes in _pieces(text or ""):
+            for codes, grams in _pieces(text or ""):
                 letters[i] += (codes != SPACE).sum()
                 size[i] += codes.size
-                held.append(gram_codes(codes))
+                held.append(grams)
                 owner.append(i)
                 waiting += codes.size
-                if waiting >= PIECE // 2:
+                if waiting >= PIECE:
                     flush()
         flush()
         return -total / np.maximum(size, 1)[:, None], np.where(letters > 0, size, 0)
@@ -192,40 +227,64 @@ def in_training(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 != 0, F.lit(False))
 
 
-def fit(docs: DataFrame, max_grams: int = MAX_GRAMS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> KneserNey | None:
-    """A model of the languages of the training documents; None if there are none.
+def fit(docs: DataFrame, discount: float = 0.75, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"):
+    """A model of the languages of the training documents with the tables it reads; None if there are none.
 
-    Counts cover every training text.  Only the grams kept for the model reach
-    the driver: per language at most ``max_grams``, chosen by a count threshold
-    from a histogram of count magnitudes.
+    All grams of all training texts count; nothing is cut.  Spark counts them
+    per language, derives the lower orders (a gram counts the distinct
+    characters before it), the contexts' totals and types, and joins each order
+    with its contexts and with the probabilities of the order below.  Every
+    order is written sorted to the shared folder; the driver sees the
+    languages' names and one number.
     """
     src = docs.filter(in_training(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counted = (src.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-               .mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    counted = cut(counted.withColumn("step", F.floor(4 * F.log2("n")).cast("int")), "grams")
-    least: dict[str, int] = {}
-    held: dict[str, int] = {}
-    for r in counted.groupBy("lang", "step").agg(F.count("*").alias("n")).orderBy("lang", F.desc("step")).collect():
-        held[r["lang"]] = held.get(r["lang"], 0) + r["n"]
-        if held[r["lang"]] <= max_grams or r["lang"] not in least:
-            least[r["lang"]] = r["step"]
-    if not least:
-        return None
-    grams = {}
-    for lang in sorted(least):
-        kept = counted.filter((F.col("lang") == lang) & (F.col("step") >= least[lang])).select("gram", "n").toPandas()
-        grams[lang] = kept["gram"].to_numpy(np.int64).view(np.uint64), kept["n"].to_numpy()
-    return KneserNey(grams)
-
-
-def identify(docs: DataFrame, max_grams: int = MAX_GRAMS, rejected_share: float = 0.001, id_col: str = "doc_id",
+    counted = cut(src.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+                  .mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
+    langs = [r.lang for r in counted.select("lang").distinct().orderBy("lang").collect()]  # the values of a label column
+    if not langs:
+        return None, []
+    every = range(len(langs))
+    pivot = [F.coalesce(F.sum(F.when(F.col("lang") == F.lit(name), F.col("n"))), F.lit(0)).cast("double").alias(f"c{j}") for j, name in enumerate(langs)]
+    counts, tables = [cut(counted.groupBy("gram").agg(*pivot), "counts")], [counted]
+    for k in range(ORDER - 1, 0, -1):  # types of the order above, per language
+        shorter = F.col("gram").bitwiseAND((1 << 16 * k) - 1).alias("gram")
+        counts.insert(0, cut(counts[0].groupBy(shorter).agg(*[F.sum((F.col(f"c{j}") > 0).cast("double")).alias(f"c{j}") for j in every]), "counts"))
+    floor = 1.0 / (counts[0].count() + 1.0)
+    tables += counts
+    grams, contexts, kept, lower = [], [], [], None
+    for k in range(ORDER):
+        ctx = F.shiftrightunsigned("gram", 16).alias("ctx")
+        sums = counts[k].groupBy(ctx).agg(*[F.sum(f"c{j}").alias(f"t{j}") for j in every],
+                                          *[F.sum((F.col(f"c{j}") > 0).cast("double")).alias(f"y{j}") for j in every])
+        back = sums.select("ctx", *[f"t{j}" for j in every],
+                           *[F.when(F.col(f"t{j}") > 0, discount * F.col(f"y{j}") / F.col(f"t{j}")).otherwise(1.0).alias(f"b{j}") for j in every])
+        back = cut(back, "contexts")
+        rows = counts[k].withColumn("ctx", ctx).join(back, "ctx")
+        if lower is not None:
+            rows = rows.withColumn("short", F.col("gram").bitwiseAND((1 << 16 * k) - 1)).join(lower, "short")
+        below = [F.col(f"p{j}") if lower is not None else F.lit(floor) for j in every]
+        probs = cut(rows.select("gram", *[(F.greatest(F.col(f"c{j}") - discount, F.lit(0.0)) / F.greatest(f"t{j}", F.lit(1.0))
+                                           + F.col(f"b{j}") * below[j]).alias(f"q{j}") for j in every]), "probs")
+        lower = probs.select(F.col("gram").alias("short"), *[F.col(f"q{j}").alias(f"p{j}") for j in every])
+        for out, df, key, c in ((grams, probs, "gram", "q"), (contexts, back, "ctx", "b")):
+            table, files = _shelved(df, key, [F.log(f"{c}{j}").cast("float") for j in every], f"order{k + 1}")
+            out.append(files)
+            kept.append(table)
+        tables += [back, probs]
+    for t in tables:
+        drop_cut(t)
+    return KneserNey(langs, grams, contexts, float(np.log(floor))), kept
+
+
+def identify(docs: DataFrame, rejected_share: float = 0.001, id_col: str = "doc_id",
              text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Language of each row: doc_id, held_out, lang_pred, score, entropy, rejected.
 
     The prediction is the language of least cross-entropy per character;
     ``und`` if the text is null or has no letter, or nothing could be learned.
     ``score`` is the winner's posterior over the languages, with the evidence
-    of at most 50 characters.  ``rejected`` is calibrated: true when the
+    of at most 50 characters.  The models are tables in the shared folder, which
+    the tasks read (:class:`SortedTable`).  ``rejected`` is calibrated: true when the
     entropy exceeds the quantile that ``rejected_share`` of the training
     documents of that language exceed.  Only text and language of the training
     documents are learned from; predictions see the text alone.  Whole texts
@@ -234,12 +293,12 @@ def identify(docs: DataFrame, max_grams: int = MAX_GRAMS, rejected_share: float
     """
     spark = docs.sparkSession
     small_batches(spark)
-    model = fit(docs, max_grams, id_col, text_col, lang_col)
+    model, tables = fit(docs, id_col=id_col, text_col=text_col, lang_col=lang_col)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sent = spark.sparkContext.broadcast(vars(model) if model else None)
+    known = (model.langs, *model.files, model.unseen) if model else None
 
     def run(it):
-        m = KneserNey.sent(sent.value) if sent.value else None
+        m = KneserNey(*known) if known else None
         for batch in it:
             n = batch.num_rows
             lang, score, best = ["und"] * n, np.zeros(n), np.full(n, np.nan)
@@ -255,6 +314,8 @@ def identify(docs: DataFrame, max_grams: int = MAX_GRAMS, rejected_share: float
                                               pa.array(best, pa.float64(), from_pandas=True)], names=["doc_id", "lang_pred", "score", "entropy"])
 
     scored = cut(src.mapInArrow(run, "doc_id long, lang_pred string, score double, entropy double"), "languages")
+    for t in tables:
+        drop_cut(t)
     limits = (scored.filter(in_training(F.col("doc_id")) & F.col("entropy").isNotNull()).groupBy("lang_pred")
               .agg(F.percentile_approx("entropy", 1 - rejected_share, 10_000).alias("limit")))
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
