@@ -28,6 +28,12 @@ VOID = frozenset("br hr img input meta link source wbr area base col embed param
 MARKED = re.compile(r"(?:^|[\s_-])(ads?|advert\w*|advertisement|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|alert|popup|modal|newsletter|subscribe|"
                     r"comments?|replies|disqus|sidebar|side|menu|nav\w*|breadcrumbs?|footer|masthead|toolbar|share|sharing|social|related|recommended|widget|"
                     r"pagination|pager|login|signup|search|complementary|contentinfo)(?=$|[\s_-])", re.I)
+# The same names as a whole token, alone or with a word for a kind of part (fixed values): what counts on the article's own
+# headings, paragraphs and sections, whose slugs may hold any word.
+PART = re.compile(r"(?:ads?|advert|advertisement|sponsored|promo|banner|cookies?|consent|notices?|alert|popup|modal|newsletter|subscribe|comments?|replies|"
+                  r"disqus|sidebar|menu|nav|navigation|breadcrumbs?|footer|masthead|toolbar|share|sharing|social|related|recommended|widget|pagination|pager|"
+                  r"login|signup|search|complementary|contentinfo)(?:[_-](?:area|articles|bar|block|box|buttons?|container|content|form|inner|items|links|list|"
+                  r"panel|posts|section|stories|widget|wrap|wrapper))?", re.I)
 STATE = re.compile(r"(?:has|have|no|not|with|without)[_-].*|.*[_-](?:open|opened|closed|enabled|disabled)", re.I)  # of the page, not of its parts
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 NO_DISPLAY = re.compile(r"(?:^|[;\s])display\s*:\s*none", re.I)
@@ -108,7 +114,7 @@ def _blocks(page: str, lift: bool):
                 while stack and stack[-1][0] in ("nav", "header", "ul", "ol", "head") and not (len(stack) > 1 and (stack[-2][1] or stack[-2][2])):
                     stack.pop()
             marked, region = (stack[-1][1], stack[-1][3]) if stack else (False, 0)
-            hidden, named = _marks(attributes)
+            hidden, named = _marks(attributes, tag == "section" and region > 0)
             if tag in ("body", "main") or tag == "article" and all(x[0] != "article" for x in stack):
                 named = False
                 if tag == "main" or tag == "article" and lift:
@@ -122,39 +128,57 @@ def _blocks(page: str, lift: bool):
                     region = regions
             stack.append([tag, marked or hidden or tag in SKIPPED or (tag == "header" and not region), named, region])
         elif not closing:
-            block_marked = any(_marks(attributes))
+            block_marked = any(_marks(attributes, tag in HEADINGS or bool(stack and stack[-1][3])))
     if at < len(page):
         words(page[at:])
     flush()
     return out, bool(articles[1] and not articles[0])
 
 
-def _marks(attributes: str) -> tuple[bool, bool]:
-    """Whether a tag hides its element, and whether class, id, role or label name something that is not the article."""
+def _marks(attributes: str, own: bool = False) -> tuple[bool, bool]:
+    """Whether a tag hides its element, and whether class, id, role or label name something that is not the article.
+
+    On the article's ``own`` parts ids and labels name their subject, so only
+    classes and roles count there, and only as whole tokens (PART).
+    """
     hidden = named = False
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if name in ("class", "id", "role", "aria-label"):
-            named = named or any(MARKED.search(t) and not STATE.fullmatch(t) for t in value.split())
+            if not own:
+                named = named or any(MARKED.search(t) and not STATE.fullmatch(t) for t in value.split())
+            elif name in ("class", "role"):
+                named = named or any(PART.fullmatch(t) for t in value.split())
         else:
             hidden = (hidden or name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true"
                       or name == "style" and bool(NO_DISPLAY.search(value)))
     return hidden, named
 
 
-def first_pass(text: str, link_chars: int, region: int, marked: bool, heading: bool) -> str:
-    """good, bad, near (probably good) or short, from the block alone."""
+def stop_density(text: str) -> float:
+    """Share of the words that are function words of a listed language."""
+    found = WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in found) / max(1, len(found))
+
+
+def first_pass(text: str, link_chars: int, region: int, marked: bool, heading: bool, listed: bool = True) -> str:
+    """good, bad, near (probably good) or short, from the block alone.
+
+    ``listed``: the page is in a language whose function words are known;
+    otherwise length and links decide.
+    """
     if marked:
         return "bad"
     size = len(text)
     if link_chars > MAX_LINKS * size:
         return "bad"
-    if not region and ("©" in text or " ©" in text):
-        return "bad"
+    if not region and "©" in text and (size < SHORT or text.startswith("©")):
+        return "bad"  # a copyright line, not prose that has the sign
     if size < SHORT or heading:
         return "short"
-    found = WORD.findall(text.lower())
-    density = sum(w in STOP_WORDS for w in found) / max(1, len(found))
+    if not listed:
+        return "good" if size >= LONG else "near"
+    density = stop_density(text)
     if density >= STOP_HIGH:
         return "good" if size >= LONG else "near"
     if density >= STOP_LOW:
@@ -162,17 +186,20 @@ def first_pass(text: str, link_chars: int, region: int, marked: bool, heading: b
     return "short" if region else "bad"
 
 
-def second_pass(labels: list[str], regions: list[int]) -> list[bool]:
-    """Undecided blocks take the label of their nearest decided neighbours.
+def second_pass(labels: list[str], regions: list[int], headings: list[bool] | None = None, texts: list[str] | None = None) -> list[bool]:
+    """Undecided blocks take the label of their nearest decided neighbour.
 
     Neighbours are sought within the same article or main element.  Both good:
-    good.  Both bad: bad.  Otherwise, or with none decided, a ``near`` block is
-    good, and a short one is good inside an article and bad outside.
+    good.  Both bad: bad.  Otherwise a ``near`` block and any block inside an
+    article are good; outside, a heading goes with what it heads, the next
+    decided block, and another block with the nearer one; between two equally
+    near ones it is good if it ends like a sentence.  With none decided a short
+    block is good inside an article and bad outside.
     """
     keep: list[bool | None] = [{"good": True, "bad": False}.get(x) for x in labels]
     decided, n = list(keep), len(keep)
-    before: list[bool | None] = [None] * n
-    after: list[bool | None] = [None] * n
+    before: list[int | None] = [None] * n
+    after: list[int | None] = [None] * n
     for out, order in ((before, range(n)), (after, range(n - 1, -1, -1))):
         last, place = None, None
         for i in order:
@@ -180,14 +207,23 @@ def second_pass(labels: list[str], regions: list[int]) -> list[bool]:
                 last, place = None, regions[i]
             out[i] = last
             if decided[i] is not None:
-                last = decided[i]
+                last = i
     for i in range(n):
-        if decided[i] is None:
-            a, b = before[i], after[i]
-            if a == b and a is not None:
-                keep[i] = a
-            else:
-                keep[i] = labels[i] == "near" or regions[i] > 0
+        if decided[i] is not None:
+            continue
+        a, b = before[i], after[i]
+        if a is not None and b is not None and decided[a] == decided[b]:
+            keep[i] = decided[a]
+        elif labels[i] == "near" or regions[i]:
+            keep[i] = True
+        elif a is None and b is None:
+            keep[i] = False
+        elif headings and headings[i]:
+            keep[i] = b is not None and decided[b]
+        elif a is None or b is None or i - a != b - i:
+            keep[i] = decided[a if b is None or a is not None and i - a < b - i else b]
+        else:
+            keep[i] = bool(texts) and texts[i].endswith((".", "!", "?", "…"))
     return [bool(k) for k in keep]
 
 
@@ -197,7 +233,8 @@ def main_text(page: str | None) -> str:
     regions = {r for _, _, r, marked, _ in found if r and not marked}
     if regions:  # where the page says which part is the article, the rest is decided
         found = [b if b[2] in regions else (*b[:3], True, b[4]) for b in found]
-    keep = second_pass([first_pass(*b) for b in found], [b[2] for b in found])
+    listed = any(stop_density(b[0]) >= STOP_LOW for b in found if len(b[0]) >= SHORT and not b[3])
+    keep = second_pass([first_pass(*b, listed) for b in found], [b[2] for b in found], [b[4] for b in found], [b[0] for b in found])
     return "\n\n".join(b[0] for b, k in zip(found, keep) if k)
 
 
