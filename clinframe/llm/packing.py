@@ -31,21 +31,25 @@ class ByteBpe:
     gives the same ids several times faster.  The split pattern never joins
     text across a single space or line break between two visible characters, so
     such words are encoded on their own and remembered; any other white space
-    sends the whole text through the encoder.
+    sends the whole text through the encoder.  Added tokens of the file are cut
+    out first and get their own ids, as ``tokenizers`` does.
     """
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
+            spec = json.load(f)
+        vocab = spec["model"]["vocab"]
+        self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that a vocabulary file shows as they are
         byte = {chr(b): b for b in visible}
         byte |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(visible))}
         ranks = {}
         for token, i in vocab.items():
-            if all(c in byte for c in token):
+            if token not in self.added and all(c in byte for c in token):
                 ranks[bytes(byte[c] for c in token)] = i
         self.encoder = tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.kind = "<u2" if max(ranks.values()) < 1 << 16 else "<u4"
+        self.kind = "<u2" if max(*ranks.values(), *self.added.values(), 0) < 1 << 16 else "<u4"
         self.line_break = self._plain("\n")
         self.end = np.zeros(1, self.kind).tobytes()
         self.words: dict[str, bytes] = {}
@@ -66,16 +70,24 @@ class ByteBpe:
     def encode(self, text: str | None) -> bytes:
         """Ids of the text and the end id 0, as little-endian integers."""
         text = re.sub("[\ud800-\udfff]", "�", text) if text and not text.isascii() else text
+        if not text:
+            return self.end
+        if self.cut and self.cut.search(text):
+            pieces = [np.array([self.added[p]], self.kind).tobytes() if p in self.added else self._segment(p) for p in self.cut.split(text) if p]
+            return b"".join(pieces) + self.end
+        return self._segment(text) + self.end
+
+    def _segment(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
         out, word = [], self._word
-        for i, line in enumerate(text.split("\n") if text else ()):
+        for i, line in enumerate(text.split("\n")):
             parts = line.split(" ")
             if "" in parts or len(line.split()) != len(parts):
-                return self._plain(text) + self.end
+                return self._plain(text)
             if i:
                 out.append(self.line_break)
             out.append(word(parts[0]))
             out += [word(" " + p) for p in parts[1:]]
-        out.append(self.end)
         return b"".join(out)
 
 
