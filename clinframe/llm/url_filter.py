@@ -63,11 +63,25 @@ def _featured(urls: DataFrame) -> DataFrame:
         F.substring_index("host", ".", -2).alias("suffix"), F.regexp_extract("path", r"^/([^/]*)", 1).alias("section"))
 
 
-def _statistics(labelled: DataFrame, key: str) -> DataFrame:
-    """Per value of ``key``: log count over all URLs and smoothed share of block among the labelled ones."""
-    blocked = F.count(F.when(F.col("label") == 1, 1))
-    return labelled.groupBy(key).agg(
-        F.log(F.count("*") + 1.0).alias(f"{key}_log_count"), ((blocked + 1.0) / (F.count("label") + 2.0)).alias(f"{key}_block"))
+#: Label shares of a training URL come from the other folds, so that they don't tell its own label.
+FOLDS = 5
+
+
+def _statistics(urls: DataFrame, key: str) -> DataFrame:
+    """Per value of ``key``: log count of the different URLs, and per fold how many are labelled and labelled block."""
+    count = lambda f, c: F.count(F.when((F.col("fold") == f) & c, 1))
+    return urls.groupBy(key).agg(
+        F.log(F.count("*") + 1.0).alias(f"{key}_log_count"),
+        F.array(*[count(f, F.col("label").isNotNull()) for f in range(FOLDS)]).alias(f"{key}_labelled"),
+        F.array(*[count(f, F.col("label") == 1) for f in range(FOLDS)]).alias(f"{key}_blocked"))
+
+
+def _shares(rows: DataFrame, without_fold: bool) -> DataFrame:
+    """Smoothed share of block among the labelled URLs of suffix and section; in training those of the other folds."""
+    def total(c):
+        whole = sum((F.col(c)[f] for f in range(1, FOLDS)), F.col(c)[0])
+        return whole - F.col(c)[F.col("fold")] if without_fold else whole
+    return rows.withColumns({f"{k}_block": (total(f"{k}_blocked") + 1.0) / (total(f"{k}_labelled") + 2.0) for k in ("suffix", "section")})
 
 
 def url_verdicts(pages: DataFrame, rules=RULES, max_training: int = MAX_TRAINING, trees: int = 20, depth: int = 4,
@@ -77,9 +91,11 @@ def url_verdicts(pages: DataFrame, rules=RULES, max_training: int = MAX_TRAINING
     The longest rule that fits decides (host or subdomain, and start of the
     path).  URLs without a rule get the verdict of gradient-boosted trees, for
     which the URLs that a rule decides are the labelled ones.  Suffix and
-    section statistics cover all URLs; the trees are fitted on the
-    ``max_training`` labelled URLs of smallest hash.  Without labelled URLs
-    everything else is allowed; with labels of one kind that kind is returned.
+    section statistics cover all different URLs; the trees are fitted on the
+    ``max_training`` different labelled URLs of smallest hash, each with the
+    label shares of other folds.  A URL counts once however many rows have it.
+    Without labelled URLs everything else is allowed; with labels of one kind
+    that kind is returned.
 
     Null URLs and URLs without :// have an empty host and path, fit no rule and
     are judged by the trees.  Repeated rows each get their verdict; columns
@@ -95,10 +111,16 @@ def url_verdicts(pages: DataFrame, rules=RULES, max_training: int = MAX_TRAINING
     rule, verdict = match_rule(F.col("host"), F.col("path"), rules)
     ruled = base.select("*", rule.alias("rule"), verdict.alias("ruled"))
     keyed = _featured(ruled.withColumn("label", F.when(F.col("ruled") == "block", 1).when(F.col("ruled") == "allow", 0)))
-    suffixes, sections = cut(_statistics(keyed, "suffix"), "suffixes"), cut(_statistics(keyed, "section"), "sections")
-    rows = keyed.join(suffixes, "suffix").join(sections, "section")
-    sample = cut(rows.filter("label is not null").select("url", *FEATURES, F.col("label").cast("double").alias("label"))
-                 .orderBy(F.xxhash64("url"), "url").limit(max_training), "labelled")
+    # rule, label, suffix and section follow from the URL
+    urls = cut(keyed.groupBy("url").agg(*[F.first(c).alias(c) for c in ("label", "suffix", "section")])
+               .withColumn("fold", F.pmod(F.xxhash64("url", F.lit("fold")), F.lit(FOLDS)).cast("int")), "urls")
+    suffixes, sections = cut(_statistics(urls, "suffix"), "suffixes"), cut(_statistics(urls, "section"), "sections")
+    rows = _shares(keyed.join(suffixes, "suffix").join(sections, "section"), False)
+    chosen = urls.filter("label is not null").orderBy(F.xxhash64("url"), "url").limit(max_training)
+    split = split_url(F.col("url"))
+    chosen = _featured(chosen.drop("suffix", "section").withColumn("host", split[0]).withColumn("path", split[1]))
+    sample = cut(_shares(chosen.join(suffixes, "suffix").join(sections, "section"), True)
+                 .select("url", *FEATURES, F.col("label").cast("double").alias("label")), "labelled")
     kinds = [r[0] for r in sample.select("label").distinct().collect()]  # two at most
     if len(kinds) < 2:
         scored = rows.withColumn("block_score", F.lit(kinds[0] if kinds else 0.0))
