@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -16,9 +18,19 @@ PAIRS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_matched"
                    ("n_item", pa.int64()), ("n_tiles", pa.int64()), ("coverage", pa.float64())])
 
 
+# Scripts written without spaces (Thai to Lao, Burmese, Khmer, kana, Han) and the marks used with them (fixed values).
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+_MARKS = re.compile("[\u3000-\u303f\uff00-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]")
+
+
+def _folded(text: str) -> str:
+    text = text.casefold()
+    return text if text.isascii() else _MARKS.sub(" ", _UNSPACED.sub(r" \g<0> ", text))
+
+
 def _words(texts: list) -> list[np.ndarray]:
-    """Word hashes: case folded, punctuation separates."""
-    return hasher(folded=True).many([None if t is None else t.casefold() for t in texts])
+    """Word hashes: case folded, punctuation separates; letters of unspaced scripts are words of their own."""
+    return hasher(folded=True).many([None if t is None else _folded(t) for t in texts])
 
 
 def _rolling(x: np.ndarray, s: int) -> np.ndarray:
@@ -95,6 +107,13 @@ class _Block:
         place = np.concatenate([np.arange(g.size) for g, _ in found]) if found else np.zeros(0, np.int64)
         order = np.argsort(key, kind="stable")
         self.key, self.owner, self.place = key[order], owner[order].astype(np.int32), place[order].astype(np.int32)
+        # an item shorter than a seed has one seed, itself
+        self.short = {}
+        for n in sorted({w.size for w in self.items if 0 < w.size < seed}):
+            mine = np.array([i for i, w in enumerate(self.items) if w.size == n])
+            whole = np.array([grams(self.items[i], n)[0] for i in mine], np.uint64)
+            order = np.argsort(whole, kind="stable")
+            self.short[n] = whole[order], mine[order]
         self.filter = np.zeros(1 << BITS, bool)
         self.filter[(key >> np.uint64(64 - BITS)).astype(np.int64)] = True
 
@@ -107,6 +126,17 @@ class _Block:
 
     def search(self, words: np.ndarray) -> list[tuple[int, int, int]]:
         """(item index, matched tokens, tiles) of the items that the text covers enough of."""
+        return self._short(words) + self._seeded(words)
+
+    def _short(self, words: np.ndarray) -> list[tuple[int, int, int]]:
+        out = []
+        for n, (whole, owner) in self.short.items():
+            held = np.unique(grams(words, n))
+            lo, hi = np.searchsorted(whole, held, "left"), np.searchsorted(whole, held, "right")
+            out += [(int(i), n, 1) for a, b in zip(lo[hi > lo], hi[hi > lo]) for i in owner[a:b]]
+        return out
+
+    def _seeded(self, words: np.ndarray) -> list[tuple[int, int, int]]:
         g = grams(words, self.seed)
         at = np.flatnonzero(self.filter[(g >> np.uint64(64 - BITS)).astype(np.int64)])
         lo, hi = np.searchsorted(self.key, g[at], "left"), np.searchsorted(self.key, g[at], "right")
@@ -159,8 +189,10 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, seed: int = 5, per
     benchmark's blocks (BLOCK_CHARS each), so nothing is shuffled and a common
     passage is no hot key.
 
-    Null or empty texts and items below ``seed`` words match nothing; repeated
-    rows of either table each give their own pair; other columns are ignored.
+    An item shorter than ``seed`` words matches where it occurs whole.  Letters
+    of scripts without spaces are words of their own.  Null or empty texts and
+    items match nothing; repeated rows of either table each give their own
+    pair; other columns are ignored.
     """
     small_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -183,7 +215,11 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, seed: int = 5, per
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, seed: int = 5, percent: int = 60,
                       text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that :func:`contaminated_pairs` names; all columns pass through, nothing is shuffled."""
+    """``docs`` without the rows that :func:`contaminated_pairs` names; all columns pass through, nothing is shuffled.
+
+    Null and empty texts hold no item and stay; equal rows stay or go together;
+    an empty benchmark leaves all rows.
+    """
     small_batches(docs.sparkSession)
     at, out = docs.columns.index(text_col), docs
     for block in _blocks(benchmark, seed, percent):
