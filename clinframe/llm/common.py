@@ -10,17 +10,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_own_scratch: list[str] = []
 MASK48 = np.uint64((1 << 48) - 1)
 
 
 # --------------------------------------------------------------------- scratch tables
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; one of our own only where it is unset (tests)."""
+    """The shared folder named by ``spark.checkpoint.dir``; one of our own only where it is unset, on a local master (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="llm-scratch-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
+        if not _own_scratch:
+            _own_scratch.append(tempfile.mkdtemp(prefix="llm-scratch-"))
+        path = _own_scratch[0]
     return path.rstrip("/")
 
 
@@ -165,7 +169,7 @@ class WordHasher:
                     acc = np.uint64(0)
                     for k in range(0, word.size, CHUNK):
                         w = word[k:k + CHUNK]
-                        acc = mix(np.array([acc + np.add.reduce(w * self.pow[: w.size])], np.uint64))[0]
+                        acc = mix(np.add.reduce(w * self.pow[: w.size], keepdims=True) + acc)[0]
                     parts.append(np.array([acc], np.uint64))
                     lo = end
                     continue

@@ -57,20 +57,20 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     they are.  Rows equal in id and text are one document: they are compared
     as one and get the same result.  A null id sorts first.
     """
-    marks = repeated_windows(docs, id_col, text_col).select(
-        F.col("doc_id").alias("__id"), F.col("tkey").alias("__key"), F.col("starts").alias("__starts"))
+    marks = repeated_windows(docs, id_col, text_col).select(F.col("doc_id").alias("id"), F.col("tkey").alias("key"), "starts")
     names = [c for c in docs.columns if c != "line_dedup"]
-    keyed = docs.withColumn("__tkey", text_key(text_col))
-    out = keyed.join(marks, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__tkey") == F.col("__key")), "left")
-    out = out.select(*names, "__starts", _lines(F.col(text_col)).alias("__lines"))
-    full = F.filter(F.transform("__lines", lambda x, i: F.struct(i.alias("i"), (_normal(x) != "").alias("full"))), lambda s: s["full"])
-    out = out.select(*names, "__starts", "__lines", F.transform(full, lambda s: s["i"]).alias("__full"))
-    spans = F.flatten(F.transform("__starts", lambda s: F.sequence(s, s + (WINDOW - 1))))
-    out = out.select(*names, "__lines", "__full", F.array_sort(F.array_distinct(spans)).alias("__gone"))
-    kept = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.transform("__gone", lambda o: F.col("__full")[o]))
-    text = F.array_join(F.transform(kept, lambda i: F.col("__lines")[i]), "\n")
-    starts = F.filter(F.transform("__gone", lambda o, i: (i == 0) | (F.col("__gone")[i - 1] != o - 1)), lambda new: new)
-    count = lambda a: F.when(F.col("__gone").isNull(), 0).otherwise(F.size(a)).cast("long")
-    return out.select(
-        *[F.when(F.col("__gone").isNull(), F.col(c)).otherwise(text).alias(c) if c == text_col else F.col(c) for c in names],
-        F.struct(F.size("__full").cast("long").alias("n_lines"), count("__gone").alias("n_removed"), count(starts).alias("n_spans")).alias("line_dedup"))
+    # the row travels in one struct, so no helper can clash with its columns
+    keyed = docs.select(F.struct(*names).alias("row"), F.col(id_col).alias("doc"), F.col(text_col).alias("text"), text_key(text_col).alias("text_hash"))
+    out = keyed.join(marks, F.col("doc").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("key")), "left")
+    out = out.select("row", "text", "starts", _lines(F.col("text")).alias("lines"))
+    full = F.filter(F.transform("lines", lambda x, i: F.struct(i.alias("i"), (_normal(x) != "").alias("full"))), lambda s: s["full"])
+    out = out.select("row", "text", "starts", "lines", F.transform(full, lambda s: s["i"]).alias("full"))
+    spans = F.flatten(F.transform("starts", lambda s: F.sequence(s, s + (WINDOW - 1))))
+    out = out.select("row", "text", "lines", "full", F.array_sort(F.array_distinct(spans)).alias("gone"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.transform("gone", lambda o: F.col("full")[o]))
+    text = F.array_join(F.transform(kept, lambda i: F.col("lines")[i]), "\n")
+    starts = F.filter(F.transform("gone", lambda o, i: (i == 0) | (F.col("gone")[i - 1] != o - 1)), lambda new: new)
+    count = lambda a: F.when(F.col("gone").isNull(), 0).otherwise(F.size(a)).cast("long")
+    marked = F.struct(F.size("full").cast("long").alias("n_lines"), count("gone").alias("n_removed"), count(starts).alias("n_spans"))
+    out = out.select("row", F.when(F.col("gone").isNull(), F.col("text")).otherwise(text).alias("left"), marked.alias("counts"))
+    return out.select(*[F.col("left").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in names], F.col("counts").alias("line_dedup"))

@@ -39,11 +39,11 @@ dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines WHERE n >
 hosts AS (SELECT host, count(DISTINCT text) AS n FROM d GROUP BY host),
 often AS (SELECT l.host, l.norm FROM lines l JOIN hosts h ON h.host = l.host WHERE l.n > 0
           GROUP BY l.host, l.norm, h.n HAVING count(DISTINCT l.text) >= 20 AND 100 * count(DISTINCT l.text) >= 5 * h.n),
-freq AS (SELECT l.doc_id, sum(l.n) AS n FROM lines l JOIN often o ON o.host = l.host AND o.norm = l.norm GROUP BY l.doc_id),
+freq AS (SELECT l.doc_id, l.host, sum(l.n) AS n FROM lines l JOIN often o ON o.host = l.host AND o.norm = l.norm GROUP BY l.doc_id, l.host),
 a AS (SELECT d.doc_id, coalesce(b.n_words, 0) AS n_words, coalesce(b.word_chars, 0) AS word_chars,
              length(regexp_replace(d.text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(u.n, 0) AS n_dup_lines,
              coalesce(r.n, 0) AS n_repeat_words, coalesce(f.n, 0) AS n_frequent_words
-      FROM d LEFT JOIN base b USING (doc_id) LEFT JOIN rep r USING (doc_id) LEFT JOIN dup u USING (doc_id) LEFT JOIN freq f USING (doc_id))
+      FROM d LEFT JOIN base b USING (doc_id) LEFT JOIN rep r USING (doc_id) LEFT JOIN dup u USING (doc_id) LEFT JOIN freq f USING (doc_id, host))
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
        n_repeat_words::BIGINT AS n_repeat_words, n_frequent_words::BIGINT AS n_frequent_words,
        n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,

@@ -98,9 +98,9 @@ def line_frequency(docs: DataFrame, min_docs: int = 20, share_pct: int = 5, min_
              .filter(F.col("n") >= min_docs).join(hosts, "host")
              .filter(100 * F.col("n") >= share_pct * F.col("host_texts")).select("host", "hash"))
     hits = (lines.join(cut(often, "frequent"), ["host", "hash"])
-            .groupBy("doc_id", "tkey").agg(F.collect_set(F.struct("hash", "words")).alias("hit"))
-            .select(F.col("doc_id").alias("id2"), F.col("tkey").alias("key2"), "hit"))
-    out = stats.join(hits, F.col("doc_id").eqNullSafe(F.col("id2")) & (F.col("tkey") == F.col("key2")), "left")
+            .groupBy("host", "doc_id", "tkey").agg(F.collect_set(F.struct("hash", "words")).alias("hit"))
+            .select(F.col("host").alias("host2"), F.col("doc_id").alias("id2"), F.col("tkey").alias("key2"), "hit"))
+    out = stats.join(hits, F.col("doc_id").eqNullSafe(F.col("id2")) & (F.col("tkey") == F.col("key2")) & (F.col("host") == F.col("host2")), "left")
     gone = F.coalesce(F.aggregate("hit", F.lit(0).cast("long"), lambda a, h: a + h["words"]), F.lit(0).cast("long"))
     out = out.withColumn("n_frequent_words", gone)
     rest = F.col("n_words") - F.col("n_frequent_words")
@@ -112,15 +112,21 @@ def line_frequency(docs: DataFrame, min_docs: int = 20, share_pct: int = 5, min_
 
 
 def drop_poor(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` that :func:`line_frequency` keeps, without their frequent lines; ``n_chars`` follows the text."""
+    """``docs`` that :func:`line_frequency` keeps, without their frequent lines; ``n_chars`` follows the text.
+
+    Null and empty texts are rejected (they have no words); equal rows are kept
+    or rejected together and each stays; a row without id is judged like any
+    other.  All columns pass through, whatever their names.
+    """
     marks = (line_frequency(docs, **options).filter("kept")
-             .groupBy(F.col("doc_id").alias("__id"), F.col("tkey").alias("__key"), F.col("host").alias("__host"))
-             .agg(F.first("frequent").alias("__frequent")))
-    keyed = docs.withColumn("__tkey", text_key())
-    joined = keyed.join(marks, keyed["doc_id"].eqNullSafe(marks["__id"]) & (keyed["__tkey"] == marks["__key"])
-                        & (F.coalesce(keyed["source"], F.lit("")) == marks["__host"]))
-    cols = [keyed[c] for c in docs.columns]
+             .groupBy(F.col("doc_id").alias("id"), F.col("tkey").alias("key"), "host").agg(F.first("frequent").alias("frequent")))
+    keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc"), text_key().alias("text_hash"),
+                        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("from"))
+    joined = keyed.join(marks, F.col("doc").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("key")) & (F.col("from") == F.col("host")))
     at, names = docs.columns.index("text"), docs.columns
+    last = "frequent"
+    while last in names:
+        last += "_"
 
     def run(it):
         for batch in it:
@@ -137,4 +143,4 @@ def drop_poor(docs: DataFrame, **options) -> DataFrame:
                 arrays[k] = pa.array([None if t is None else len(t) for t in texts], arrays[k].type)
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return joined.select(*cols, "__frequent").mapInArrow(run, docs.schema)
+    return joined.select("row.*", F.col("frequent").alias(last)).mapInArrow(run, docs.schema)

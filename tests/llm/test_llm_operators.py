@@ -321,7 +321,6 @@ def test_pieces_are_the_documents_and_fill_their_sequences(spark, smoke, window)
     odd = docs(spark, ODD + ["<|endoftext|> it's  two  spaces \n\n x", "\ttab", "a\r\nb", "trailing "], ids=range(-20, -7))
     rows = smoke.select("doc_id", "text").unionAll(odd.select("doc_id", "text"))
     encoder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    encoder.encode_special_tokens = True
     want = {r.doc_id: np.array(encoder.encode(r.text or "", add_special_tokens=False).ids + [0], "<u4") for r in rows.collect()}
     got = packing.pack(rows, window).toPandas()
     for doc, pieces in got.sort_values("start").groupby("doc_id"):
@@ -432,18 +431,62 @@ def test_held_out_accuracy_and_undetermined(spark):
     assert got[-1][:2] == got[-2][:2] == ("und", 0.0) and got[None][0] == "en" and not got[None][2]
 
 
-def test_probabilities_sum_to_one():
-    texts = ["abracadabra cadabra", "barbara abba"]
-    grams = {}
-    for lang, text in zip("xy", texts):
-        codes = language_id.alphabet().codes(text)
-        grams[lang] = np.unique(language_id.gram_codes(codes), return_counts=True)
-    m = language_id.KneserNey(grams)
-    chars = [ord(c) for c in "abcdr "]
-    for context in ("abr", " ca", "zzz"):
-        p = np.exp(m.log_probs(np.array([sum(ord(c) << 16 * (3 - i) for i, c in enumerate(context)) | w for w in chars], np.uint64)))
-        known = np.array([[(np.asarray(chars) == (k & 0xFFFF)).any() for k in m.keys[0]]])
-        assert known.all() and (np.abs(p.sum(axis=0) + np.exp(m.unseen) - 1) < 0.2).all()
+def brute_kneser_ney(texts, discount=0.75):
+    """Log probability of (language, gram of four codes) by recursion over plain dictionaries."""
+    counts = {}
+    for lang, text in texts:
+        codes = [32] * 3 + language_id.alphabet().codes(text).tolist()
+        c = counts.setdefault(lang, Counter())
+        c.update(tuple(codes[i:i + 4]) for i in range(len(codes) - 3))
+    orders = {lang: {4: c} for lang, c in counts.items()}
+    for o in orders.values():
+        for k in (3, 2, 1):
+            o[k] = Counter(g[1:] for g in o[k + 1])
+    vocabulary = {g for o in orders.values() for g in o[1]}
+    held = {lang: {k: {} for k in range(1, 5)} for lang in orders}
+    for lang, o in orders.items():
+        for k in range(1, 5):
+            for g, n in o[k].items():
+                held[lang][k].setdefault(g[:-1], []).append(n)
+
+    def p(lang, g):
+        if not g:
+            return 1 / (len(vocabulary) + 1)
+        seen = held[lang][len(g)].get(g[:-1])
+        if not seen:
+            return p(lang, g[1:])
+        return max(orders[lang][len(g)][g] - discount, 0) / sum(seen) + discount * len(seen) / sum(seen) * p(lang, g[1:])
+    return p
+
+
+def test_kneser_ney_equals_brute_force(spark, monkeypatch):
+    texts = [("x", "abracadabra cadabra Äb"), ("x", "abba"), ("y", "barbara abba ca 漢字 \U00020000x"), ("y", prose(3, 300)), ("z", prose(4, 200))]
+    monkeypatch.setattr(language_id, "in_training", lambda c: F.lit(True))
+    df = spark.createDataFrame([(i, t, lang, "s", 0) for i, (lang, t) in enumerate(texts)], DOCS)
+    m, _ = language_id.fit(df)
+    p = brute_kneser_ney(texts)
+    rng = np.random.default_rng(1)
+    alphabet = [*map(ord, "abcdr z"), *language_id.alphabet().codes("漢Ä")[1:-1].tolist(), 9999]
+    grams = [tuple(rng.choice(alphabet, 4).tolist()) for _ in range(400)]
+    grams += [g for _, t in texts for g in zip(*[([32] * 3 + language_id.alphabet().codes(t).tolist())[i:] for i in range(4)])]
+    got = m.log_probs(np.array([sum(c << 16 * (3 - i) for i, c in enumerate(g)) for g in grams], np.uint64))
+    want = np.log([[p(lang, g) for lang in m.langs] for g in grams])
+    assert m.langs == ["x", "y", "z"] and np.abs(got - want).max() < 2e-6 * np.abs(want).max()
+    for context in ("abr", " ca", "zzz"):  # all seen characters and one unseen make 1
+        codes = sorted({c for _, t in texts for c in language_id.alphabet().codes(t).tolist()}) + [9999]
+        q = np.exp(m.log_probs(np.array([sum(ord(c) << 16 * (3 - i) for i, c in enumerate(context)) | c2 for c2 in codes], np.uint64)).astype(float))
+        assert np.abs(q.sum(axis=0) - 1).max() < 1e-5
+
+
+def test_grams_of_long_texts_are_those_of_the_whole(monkeypatch):
+    text = prose(1, 400) + "  12 \n漢字 .. " + prose(2, 300)
+    whole = language_id.gram_codes(language_id.alphabet().codes(text))
+    for piece in (1, 2, 7, 100, len(text), len(text) + 1):
+        monkeypatch.setattr(language_id, "PIECE", piece)
+        parts = list(language_id._pieces(text))
+        assert np.concatenate([g for _, g in parts]).tolist() == whole.tolist()
+        assert np.concatenate([c for c, _ in parts]).tolist() == language_id.alphabet().codes(text).tolist()
+    assert [c.tolist() for c, _ in language_id._pieces("")] == [[32]]
 
 
 # --------------------------------------------------------------------- 9 URLs
