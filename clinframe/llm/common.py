@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,24 @@ def scratch_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def cut(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+#: Tables made in open :func:`scratch_tables` blocks, innermost last.
+_made: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables that :func:`cut` writes inside the block when it ends, but for ``lasting`` ones."""
+    mine: list[DataFrame] = []
+    _made.append(mine)
+    try:
+        yield
+    finally:
+        _made.remove(mine)
+        for table in mine:
+            drop_cut(table)
+
+
+def cut(df: DataFrame, name: str, compression: str = "snappy", lasting: bool = False) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Cuts the lineage (a lost executor costs one stage, not the whole chain),
@@ -40,6 +59,8 @@ def cut(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     df.write.parquet(path, compression=compression)
     out = spark.read.schema(df.schema).parquet(path)
     out._llm_path = path
+    if _made and not lasting:
+        _made[-1].append(out)
     return out
 
 

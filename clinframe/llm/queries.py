@@ -53,7 +53,8 @@ def op5_nnls_packing(spark, sf_dir):
 def op6_induced_suffixes(spark, sf_dir):
     """Bytes of every document covered by repeated strings of 400 bytes."""
     out = repeated_bytes(_read(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), "kept_sha256",
+                      (F.col("n_bytes") - F.col("n_removed")).alias("n_kept"))
 
 
 def op7_line_windows(spark, sf_dir):
