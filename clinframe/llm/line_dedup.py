@@ -60,9 +60,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     marks = repeated_windows(docs, id_col, text_col).select(F.col("doc_id").alias("id"), F.col("tkey").alias("key"), "starts")
     names = [c for c in docs.columns if c != "line_dedup"]
     # the row travels in one struct, so no helper can clash with its columns
-    keyed = docs.select(F.struct(*names).alias("row"), F.col(id_col).alias("doc"), F.col(text_col).alias("text"), text_key(text_col).alias("text_hash"))
+    keyed = docs.select(F.struct(*names).alias("row"), F.col(id_col).alias("doc"), text_key(text_col).alias("text_hash"))
     out = keyed.join(marks, F.col("doc").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("key")), "left")
-    out = out.select("row", "text", "starts", _lines(F.col("text")).alias("lines"))
+    out = out.select("row", F.col(f"row.`{text_col}`").alias("text"), "starts").select("*", _lines(F.col("text")).alias("lines"))
     full = F.filter(F.transform("lines", lambda x, i: F.struct(i.alias("i"), (_normal(x) != "").alias("full"))), lambda s: s["full"])
     out = out.select("row", "text", "starts", "lines", F.transform(full, lambda s: s["i"]).alias("full"))
     spans = F.flatten(F.transform("starts", lambda s: F.sequence(s, s + (WINDOW - 1))))

@@ -101,3 +101,17 @@ def test_helper_names_may_be_columns(spark):
     out = line_dedup.line_dedup(df)
     assert out.columns == [*df.columns, "line_dedup"] and [r.line_dedup.n_removed for r in out.orderBy("doc_id").collect()] == [0, 3, 0, 0]
     assert all(r[c] == f"v-{c}" for r in [*kept.collect(), *out.collect()] for c in names)
+
+
+def test_pipeline_keeps_only_the_tables_of_its_result(spark):
+    import os
+
+    import corpus_pipeline
+    from clinframe.llm.common import scratch_dir
+    from conftest import SMOKE_DIR
+    folder = scratch_dir(spark).removeprefix("file://")
+    before = set(os.listdir(folder))
+    assert corpus_pipeline.run(spark, SMOKE_DIR).count() > 0
+    made = {n.rsplit("-", 1)[0] for n in set(os.listdir(folder)) - before}
+    assert [n for n in made if n.startswith("llm-stage")] == ["llm-stage-decontamination"]
+    assert not made & {"llm-sketch", "llm-nodes", "llm-texts", "llm-quality", "llm-repeated", "llm-members", "llm-labels"}
