@@ -34,12 +34,14 @@ Rows of one time stay in one piece.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinframe.functions.expr import interval_micros, micros_since_epoch
-from clinframe.session import store
+from clinframe.session import CHECKPOINT_SETTING, store
 
 #: Rows of a (keys, bucket) above which it is cut into pieces; the piece's size.
 DENSE_ROWS = 4_000_000
@@ -244,9 +246,19 @@ def match_values_chain(values: DataFrame, anchor: str = "pao2", features: Mappin
     """:func:`match_values` in the study's shape: one range join + ``row_number() = 1``
     per feature, chained.  Same result where (keys, time) is unique, else one row
     per (keys, time); kept to measure the two forms against each other (each
-    link adds two exchanges)."""
+    link adds two exchanges).
+
+    Every link reads ``values``, so they are stored first (without rows that are
+    neither anchor nor feature), or else a derived view would be derived anew per
+    link: this runs a job when the frame is built.  Where ``spark.checkpoint.dir``
+    is unset nothing is stored.
+    """
     from clinframe.functions.rules import MATCH_FEATURES
     features = dict(features or MATCH_FEATURES)
+    read = list(dict.fromkeys([*ids, *by, time, anchor, *features]))
+    values = values.filter(reduce(or_, [F.col(n).isNotNull() for n in (anchor, *features)])).select(*read)
+    if values.sparkSession.conf.get(CHECKPOINT_SETTING, None):
+        values = store(values, "match-values")
     cur = values.filter(F.col(anchor).isNotNull()).select(*ids, *by, time, F.col(anchor).alias(anchor_alias))
     for name, hours in features.items():
         feat = values.filter(F.col(name).isNotNull()).select(*by, time, name)

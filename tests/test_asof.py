@@ -202,3 +202,19 @@ def test_repeated_anchor_rows(spark):
     v = spark.createDataFrame(rows, cols)
     assert op.match_values(v).count() == 2
     assert op.match_values_chain(v).count() == 1
+
+
+def test_chain_derives_its_values_once(spark):
+    """The links read stored values: a derived view is not derived anew in each of them."""
+    from clinframe.functions.rules import MATCH_FEATURES
+    cols = "subject_id long, hadm_id long, icustay_id long, charttime timestamp_ntz, pao2 double, " + ", ".join(f"{n} double" for n in MATCH_FEATURES)
+    rnd = random.Random(5)
+    rows = [(1, 1, rnd.randint(1, 3), T0 + timedelta(minutes=20 * i), *[None if rnd.random() < 0.6 else rnd.random() for _ in range(1 + len(MATCH_FEATURES))])
+            for i in range(200)] + [(1, 1, 1, None, 70.0, *[1.0] * len(MATCH_FEATURES))]
+    keys = ["subject_id", "hadm_id", "icustay_id", "charttime"]
+    view = spark.createDataFrame(rows, cols).groupBy(*keys).agg(*[F.max(n).alias(n) for n in ("pao2", *MATCH_FEATURES)])
+    chain = op.match_values_chain(view)
+    assert "Aggregate" not in chain._jdf.queryExecution().optimizedPlan().toString()
+    want = op.match_values(view)
+    assert chain.columns == want.columns
+    assert sorted(map(str, chain.collect())) == sorted(map(str, want.collect()))
