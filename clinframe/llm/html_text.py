@@ -34,6 +34,8 @@ PART = re.compile(r"(?:ads?|advert|advertisement|sponsored|promo|banner|cookies?
                   r"disqus|sidebar|menu|nav|navigation|breadcrumbs?|footer|masthead|toolbar|share|sharing|social|related|recommended|widget|pagination|pager|"
                   r"login|signup|search|complementary|contentinfo)(?:[_-](?:area|articles|bar|block|box|buttons?|container|content|form|inner|items|links|list|"
                   r"panel|posts|section|stories|widget|wrap|wrapper))?", re.I)
+# Ids of a section that holds the readers' comments, inside the article too (fixed values).
+COMMENTS = re.compile(r"(?:(?:reader|user)[_-])?comments(?:[_-](?:area|container|list|section|wrap|wrapper))?|disqus[_-]thread", re.I)
 STATE = re.compile(r"(?:has|have|no|not|with|without)[_-].*|.*[_-](?:open|opened|closed|enabled|disabled)", re.I)  # of the page, not of its parts
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 NO_DISPLAY = re.compile(r"(?:^|[;\s])display\s*:\s*none", re.I)
@@ -114,7 +116,7 @@ def _blocks(page: str, lift: bool):
                 while stack and stack[-1][0] in ("nav", "header", "ul", "ol", "head") and not (len(stack) > 1 and (stack[-2][1] or stack[-2][2])):
                     stack.pop()
             marked, region = (stack[-1][1], stack[-1][3]) if stack else (False, 0)
-            hidden, named = _marks(attributes, tag == "section" and region > 0)
+            hidden, named = _marks(attributes, tag == "section" and region > 0, tag == "section")
             if tag in ("body", "main") or tag == "article" and all(x[0] != "article" for x in stack):
                 named = False
                 if tag == "main" or tag == "article" and lift:
@@ -135,11 +137,12 @@ def _blocks(page: str, lift: bool):
     return out, bool(articles[1] and not articles[0])
 
 
-def _marks(attributes: str, own: bool = False) -> tuple[bool, bool]:
+def _marks(attributes: str, own: bool = False, section: bool = False) -> tuple[bool, bool]:
     """Whether a tag hides its element, and whether class, id, role or label name something that is not the article.
 
     On the article's ``own`` parts ids and labels name their subject, so only
-    classes and roles count there, and only as whole tokens (PART).
+    classes and roles count there, and only as whole tokens (PART).  A ``section``
+    counts its id too where that is one of COMMENTS.
     """
     hidden = named = False
     for name, a, b, c in ATTRIBUTE.findall(attributes):
@@ -149,6 +152,8 @@ def _marks(attributes: str, own: bool = False) -> tuple[bool, bool]:
                 named = named or any(MARKED.search(t) and not STATE.fullmatch(t) for t in value.split())
             elif name in ("class", "role"):
                 named = named or any(PART.fullmatch(t) for t in value.split())
+            elif name == "id" and section:
+                named = named or bool(COMMENTS.fullmatch(value.strip()))
         else:
             hidden = (hidden or name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true"
                       or name == "style" and bool(NO_DISPLAY.search(value)))

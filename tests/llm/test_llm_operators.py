@@ -287,6 +287,16 @@ def test_marked_and_hidden_parts_stay_out(part):
         assert html_text.main_text(f"<body><main><article><p>{text}</p></article>{other}</main></body>") == text.strip()
 
 
+def test_ids_of_an_articles_sections():
+    """A section's id names reader comments or else the section's subject."""
+    text = "This is the text of the article and it is long enough to be taken as one of the good blocks on the page. " * 3
+    page = "<body><article><p>" + text + '</p><section id="{}"><p>Not ' + text + "</p></section></article></body>"
+    for name in ("comments", "Comments-section", "reader-comments", "disqus_thread"):
+        assert html_text.main_text(page.format(name)) == text.strip()
+    for name in ("search", "comments-in-python", "how-to-comment", "navigation"):
+        assert html_text.main_text(page.format(name)) == f"{text.strip()}\n\nNot {text.strip()}"
+
+
 def test_second_pass_takes_the_nearest_decided_neighbours():
     labels = ["bad", "short", "good", "short", "near", "good", "short", "bad", "near"]
     assert html_text.second_pass(labels, [0] * 9) == [False, False, True, True, True, True, False, False, True]
